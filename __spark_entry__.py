@@ -62,7 +62,7 @@ def _all_feeds(sf_dir: str) -> list[feeds.Feed]:
 
 
 def _trips(spark: SparkSession, sf_dir: str, table: str = "events") -> DataFrame:
-    return feeds.bind_trips(feeds.raw_table(spark, sf_dir, table), table)
+    return feeds.read_trips(spark, sf_dir, table)
 
 
 def _options(**changes) -> IngestOptions:
@@ -160,18 +160,18 @@ def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def bronze_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(bronze.derive(feeds.read_trips(spark, sf_dir, "events"), INGESTED_AT))
+    return _shown(bronze.derive(feeds.read_trips(spark, sf_dir, "events", lineage=True), INGESTED_AT))
 
 
 @_query
 def bronze_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(bronze.transform(feeds.read_trips(spark, sf_dir, "lineitem"), ingested_at=INGESTED_AT))
+    return _shown(bronze.transform(feeds.read_trips(spark, sf_dir, "lineitem", lineage=True), ingested_at=INGESTED_AT))
 
 
 @_query
 def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_dir(spark, "bronze")
-    rows = bronze.transform(feeds.read_trips(spark, sf_dir, "lineitem"), ingested_at=INGESTED_AT)
+    rows = bronze.transform(feeds.read_trips(spark, sf_dir, "lineitem", lineage=True), ingested_at=INGESTED_AT)
     write_table(rows, target, MONTHLY)
     return _shown(bronze.read_bronze(spark, target))
 
@@ -225,7 +225,7 @@ def bronze_file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def month_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_dir(spark, "bronze")
-    rows = bronze.transform(feeds.read_trips(spark, sf_dir, "orders"), ingested_at=INGESTED_AT)
+    rows = bronze.transform(feeds.read_trips(spark, sf_dir, "orders", lineage=True), ingested_at=INGESTED_AT)
     write_table(rows, target, MONTHLY)
     return _shown(bronze.month_slice(bronze.read_bronze(spark, target), ["1997-01"]))
 
@@ -278,7 +278,7 @@ def dq_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = feeds.read_feeds(spark, _all_feeds(sf_dir))
+    raw = feeds.read_feeds(spark, _all_feeds(sf_dir), lineage=False)
     layer_bronze = bronze.transform(raw, ingested_at=INGESTED_AT)
     layer_silver = silver.silver(layer_bronze)
     return quality.suite({"raw": raw, "bronze": layer_bronze, "silver": layer_silver}, QUALITY_RULES)
@@ -294,7 +294,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.missing_values(feeds.read_feeds(spark, _all_feeds(sf_dir)))
+    return explore.missing_values(feeds.read_feeds(spark, _all_feeds(sf_dir), lineage=False))
 
 
 @_query
@@ -375,7 +375,7 @@ def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.clean(union_all([_trips(spark, sf_dir, table) for table in FEEDS], TRIP_SCHEMA))
+    return silver.clean(feeds.read_feeds(spark, _all_feeds(sf_dir), lineage=False))
 
 
 @_query
@@ -407,10 +407,10 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     layer, target = new_dir(spark, "bronze"), new_dir(spark, "gold")
     append = WriteOptions(rebalance=True)
     for table in ("events", "lineitem"):
-        rows = bronze.transform(feeds.read_trips(spark, sf_dir, table), ingested_at=INGESTED_AT)
+        rows = bronze.transform(feeds.read_trips(spark, sf_dir, table, lineage=True), ingested_at=INGESTED_AT)
         write_table(rows, layer, append, mode="append")
     gold.refresh_location_month(bronze.read_bronze(spark, layer), target)
-    late = bronze.transform(feeds.read_trips(spark, sf_dir, "orders"), ingested_at=INGESTED_AT)
+    late = bronze.transform(feeds.read_trips(spark, sf_dir, "orders", lineage=True), ingested_at=INGESTED_AT)
     write_table(late, layer, append, mode="append")
     gold.refresh_location_month(bronze.read_bronze(spark, layer), target, gold.touched_months(late))
     return gold.read_location_month(spark, target)
@@ -471,9 +471,10 @@ def audit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_stream(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
     """Events as a stream. The glob also matches a single file, which the file source rejects as a plain path."""
-    return jobs.read_stream(spark, feeds.table_feed(sf_dir, "events").at(f"{sf_dir}/events[.]parquet"))
+    feed = feeds.table_feed(sf_dir, "events").at(f"{sf_dir}/events[.]parquet")
+    return jobs.read_stream(spark, feed, lineage=lineage)
 
 
 @_query
@@ -487,7 +488,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def stream_hourly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_dir(spark, "stream")
-    windows = jobs.hourly_demand(_event_stream(spark, sf_dir), "1 hour")
+    windows = jobs.hourly_demand(_event_stream(spark, sf_dir, lineage=False), "1 hour")
     jobs.run_to_files(windows, target, new_dir(spark, "progress"))
     return spark.read.schema(windows.schema).parquet(target)
 
@@ -496,8 +497,8 @@ def stream_hourly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event delivered twice comes out once."""
     target = new_dir(spark, "stream")
-    delivered = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
-    once = jobs.dedup(delivered, ["trip_id"], "1 hour").drop("source_file")
+    first, again = (_event_stream(spark, sf_dir, lineage=False) for _ in range(2))
+    once = jobs.dedup(first.unionByName(again), ["trip_id"], "1 hour")
     jobs.run_to_files(once, target, new_dir(spark, "progress"))
     return spark.read.schema(once.schema).parquet(target)
 

@@ -183,7 +183,7 @@ ORACLES: dict[str, str] = {
     # analysis
     "row_count": "select cast(count(*) as bigint) as row_count from lineitem",
     "missing_values": " union all ".join(
-        f"select '{c}' as column_name, cast(count(*) - count(\"{c}\") as bigint) as nulls from ({ALL_RAW})"
+        f"select '{c}' as column_name, cast(count(*) - count(\"{c}\") as bigint) as nulls from ({ALL_TRIPS})"
         for c in (
             "trip_id",
             "pickup_datetime",
@@ -192,7 +192,6 @@ ORACLES: dict[str, str] = {
             "PULocationID",
             "hvfhs_license_num",
             "base_passenger_fare",
-            "source_file",
         )
     ),
     "temporal_features": f"select *, {CALENDAR} from ({EVENTS})",

@@ -16,6 +16,7 @@ def local_session(cpus: str | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

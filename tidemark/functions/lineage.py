@@ -13,9 +13,10 @@ def scanned_file() -> Column:
 
 def file_name(path: str | Column) -> Column:
     """Last component of a path."""
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def feed_name(path: str | Column) -> Column:
-    """Table a Parquet file belongs to: ``x/t.parquet`` and ``x/t.parquet/part-0.parquet`` -> ``t.parquet``."""
-    return F.regexp_extract(path, r"([^/]+[.]parquet)(/[^/]*)?$", 1)
+    """Table a file belongs to: ``x/t.parquet`` and ``x/t.parquet/part-0.parquet`` -> ``t.parquet``."""
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(folder.endswith(".parquet"), folder).otherwise(file_name(path))

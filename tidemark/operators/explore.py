@@ -20,11 +20,8 @@ def dataset_overview(scan: DataFrame) -> DataFrame:
     Rows are first counted per file and partition; the distinct counts run over that small
     table. No data column is read.
     """
-    parts = scan.groupBy(
-        scanned_file().alias("path"),
-        F.col("_metadata.file_size").alias("bytes"),
-        F.spark_partition_id().alias("part"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    files = scan.select(scanned_file().alias("path"), F.col("_metadata.file_size").alias("bytes"))
+    parts = files.groupBy("path", "bytes", F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
     first_part = F.row_number().over(Window.partitionBy("path").orderBy("part")) == 1
     return parts.withColumn("first_part", first_part).agg(
         F.lit(len(scan.columns)).alias("column_count"),

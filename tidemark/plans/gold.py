@@ -50,10 +50,11 @@ def refresh_location_month(
 ) -> None:
     """Rebuild the monthly leaderboard, or only its partitions for ``months``.
 
-    The month predicate prunes the partitions read; only the partitions written are replaced.
+    The month predicate prunes the partitions read; only the partitions written are replaced. The
+    ranking leaves each month in one task, so the write needs no further shuffle.
     """
     rows = layer if months is None else month_slice(layer, months)
-    options = WriteOptions(refresh="table" if months is None else "partitions", rebalance=True)
+    options = WriteOptions(refresh="table" if months is None else "partitions")
     write_table(location_month(rows, n), target, options)
 
 

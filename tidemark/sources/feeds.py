@@ -117,34 +117,35 @@ def bind(df: DataFrame, binding: Sequence[tuple[str, str]]) -> DataFrame:
     return df.select(*[F.expr(expression).alias(name) for name, expression in binding])
 
 
-def bind_trips(df: DataFrame, table: str) -> DataFrame:
-    """A raw table as trips, without lineage."""
-    return conform(bind(df, tuple(BINDINGS[table].items())), TRIP_SCHEMA)
-
-
-def with_binding(df: DataFrame, feed: Feed) -> DataFrame:
+def with_binding(df: DataFrame, feed: Feed, lineage: bool = True) -> DataFrame:
     """Bound columns plus the source file; ``df`` must be a plain scan, batch or streaming.
 
-    Columns a binding names beyond the trip schema are passed through.
+    Columns a binding names beyond the trip schema are passed through. Ask for no lineage rather
+    than dropping ``source_file`` later: once a plan mentions file metadata, the scan builds all of
+    it for every row unless a field is used.
     """
     columns = [F.expr(expression).alias(name) for name, expression in feed.binding]
+    if not lineage:
+        return conform(df.select(*columns), TRIP_SCHEMA, keep_extra=True)
     bound = df.select(*columns, scanned_file().alias("source_file"))
     return conform(bound, RAW_TRIP_SCHEMA, keep_extra=True)
 
 
-def read_feed(spark: SparkSession, feed: Feed) -> DataFrame:
-    return with_binding(spark.read.schema(feed.schema).parquet(*feed.paths), feed)
+def read_feed(spark: SparkSession, feed: Feed, lineage: bool = True) -> DataFrame:
+    return with_binding(spark.read.schema(feed.schema).parquet(*feed.paths), feed, lineage)
 
 
-def read_feeds(spark: SparkSession, feeds: Sequence[Feed]) -> DataFrame:
+def read_feeds(spark: SparkSession, feeds: Sequence[Feed], lineage: bool = True) -> DataFrame:
     """All feeds as one frame: one scan per physical schema, however many files it has."""
     merged: dict[tuple, Feed] = {}
     for feed in feeds:
         key = (feed.schema.json(), feed.binding)
         known = merged.get(key)
         merged[key] = replace(known, paths=known.paths + feed.paths) if known else feed
-    frames = [read_feed(spark, feed) for feed in merged.values()]
-    return frames[0] if len(frames) == 1 else union_all(frames, RAW_TRIP_SCHEMA)
+    frames = [read_feed(spark, feed, lineage) for feed in merged.values()]
+    if len(frames) == 1:
+        return frames[0]
+    return union_all(frames, RAW_TRIP_SCHEMA if lineage else TRIP_SCHEMA)
 
 
 def unread(spark: SparkSession, feeds: Sequence[Feed], ingested: DataFrame) -> list[Feed]:
@@ -157,6 +158,6 @@ def unread(spark: SparkSession, feeds: Sequence[Feed], ingested: DataFrame) -> l
     return remaining
 
 
-def read_trips(spark: SparkSession, data_dir: str, table: str) -> DataFrame:
-    """One raw table as trips with its source file."""
-    return read_feed(spark, table_feed(data_dir, table))
+def read_trips(spark: SparkSession, data_dir: str, table: str, lineage: bool = False) -> DataFrame:
+    """One raw table as trips."""
+    return read_feed(spark, table_feed(data_dir, table), lineage)

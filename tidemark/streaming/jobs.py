@@ -22,15 +22,17 @@ from tidemark.sources.feeds import Feed, with_binding
 FILES_PER_TRIGGER = 1000
 
 
-def read_stream(spark: SparkSession, feed: Feed, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
-    """The feed's folder (one path, may be a glob) as a stream of trips with their source file."""
+def read_stream(
+    spark: SparkSession, feed: Feed, files_per_trigger: int = FILES_PER_TRIGGER, lineage: bool = True
+) -> DataFrame:
+    """The feed's folder (one path, may be a glob) as a stream of trips."""
     (path,) = feed.paths
     raw = (
         spark.readStream.schema(feed.schema)
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(path)
     )
-    return with_binding(raw, feed)
+    return with_binding(raw, feed, lineage)
 
 
 def bronze(df: DataFrame, rules: Rules = TRIP_RULES, ingested_at: datetime | None = None) -> DataFrame:
