@@ -1,8 +1,9 @@
 """Streaming ingestion, windowed demand, deduplication and partition publishing.
 
-The file source takes files in order of modification time. With more than one trigger the
-watermark follows that order, so files must arrive roughly in event-time order or the delay must
-cover the difference; rows behind the watermark are dropped and counted in the query progress.
+The file source takes files in order of modification time. Everything available goes into one
+micro-batch unless ``files_per_trigger`` is set; within a batch no row is late. With several batches
+the watermark follows the order of the files, so they must arrive roughly in event-time order or the
+delay must cover the difference; rows behind the watermark are dropped and counted in the progress.
 """
 
 from __future__ import annotations
@@ -19,20 +20,16 @@ from tidemark.plans.bronze import transform
 from tidemark.schema import TRIPS, TripColumns
 from tidemark.sources.feeds import Feed, with_binding
 
-FILES_PER_TRIGGER = 1000
-
 
 def read_stream(
-    spark: SparkSession, feed: Feed, files_per_trigger: int = FILES_PER_TRIGGER, lineage: bool = True
+    spark: SparkSession, feed: Feed, files_per_trigger: int | None = None, lineage: bool = True
 ) -> DataFrame:
     """The feed's folder (one path, may be a glob) as a stream of trips."""
     (path,) = feed.paths
-    raw = (
-        spark.readStream.schema(feed.schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(path)
-    )
-    return with_binding(raw, feed, lineage)
+    reader = spark.readStream.schema(feed.schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return with_binding(reader.parquet(path), feed, lineage)
 
 
 def bronze(df: DataFrame, rules: Rules = TRIP_RULES, ingested_at: datetime | None = None) -> DataFrame:
@@ -55,18 +52,20 @@ def hourly_demand(df: DataFrame, delay: str, c: TripColumns = TRIPS) -> DataFram
     )
 
 
-def dedup(df: DataFrame, keys: list[str], delay: str, salts: int = 16, c: TripColumns = TRIPS) -> DataFrame:
+def dedup(
+    df: DataFrame, keys: list[str], delay: str, two_steps: bool = True, c: TripColumns = TRIPS
+) -> DataFrame:
     """The first copy of each key within the watermark delay.
 
     A key holding much of the stream would go to one state partition. Copies are therefore first
-    reduced per (key, salt), where the salt is taken from the input partition, and only the
-    survivors, at most ``salts`` per key and batch, meet in the second step. ``salts=1`` skips
-    the first step.
+    reduced per (key, input partition), which spreads them over the cluster, and only the survivors,
+    at most one per key and input partition, meet in the second step. Without hot keys the first
+    step can be left out. Copies further apart than the delay may or may not be dropped.
     """
     timed = df.withColumn("event_time", event_time(c.pickup)).withWatermark("event_time", delay)
-    if salts > 1:
-        salted = timed.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        timed = salted.dropDuplicatesWithinWatermark([*keys, "salt"]).drop("salt")
+    if two_steps:
+        spread = timed.withColumn("input_partition", F.spark_partition_id())
+        timed = spread.dropDuplicatesWithinWatermark([*keys, "input_partition"]).drop("input_partition")
     return timed.dropDuplicatesWithinWatermark(keys).drop("event_time")
 
 
