@@ -80,7 +80,7 @@ def _run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(failed, runs.STATUS_FAILED).otherwise(runs.STATUS_OK).alias("status"),
         F.col("value").alias("seconds"),
         F.get_json_object("props", "$.k").try_cast("int").alias("files_processed"),
-        F.when(failed, F.concat(F.lit("run "), F.col("event_id").cast("string"), F.lit(" failed"))).alias("error"),
+        F.when(failed, F.concat(F.lit("run "), F.col("event_id"), F.lit(" failed"))).alias("error"),
         F.col("ts").alias("logged_at"),
     )
 
@@ -102,7 +102,9 @@ def tolerant_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = files.catalog(spark, [events, broken], pattern="*")
     rows, report = files.tolerant_read(spark, found, feeds.EVENTS_SCHEMA)
     kept = (
-        rows.filter("value > 0").groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("kept"))
+        rows.filter("value > 0")
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.count(F.lit(1)).alias("kept"))
     )
     return (
         report.join(kept, "path", "left")
@@ -165,7 +167,8 @@ def bronze_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def bronze_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(bronze.transform(feeds.read_trips(spark, sf_dir, "lineitem", lineage=True), ingested_at=INGESTED_AT))
+    rows = feeds.read_trips(spark, sf_dir, "lineitem", lineage=True)
+    return _shown(bronze.transform(rows, ingested_at=INGESTED_AT))
 
 
 @_query
@@ -405,13 +408,11 @@ def gold_location_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold over events and lineitem; then orders arrive and only their months are rebuilt."""
     layer, target = new_dir(spark, "bronze"), new_dir(spark, "gold")
-    append = WriteOptions(rebalance=True)
-    for table in ("events", "lineitem"):
-        rows = bronze.transform(feeds.read_trips(spark, sf_dir, table, lineage=True), ingested_at=INGESTED_AT)
-        write_table(rows, layer, append, mode="append")
+    early = [feed for feed in _all_feeds(sf_dir) if feed.name != "orders"]
+    bronze.ingest(spark, early, layer, _options())
     gold.refresh_location_month(bronze.read_bronze(spark, layer), target)
     late = bronze.transform(feeds.read_trips(spark, sf_dir, "orders", lineage=True), ingested_at=INGESTED_AT)
-    write_table(late, layer, append, mode="append")
+    write_table(late, layer, MONTHLY, mode="append")
     gold.refresh_location_month(bronze.read_bronze(spark, layer), target, gold.touched_months(late))
     return gold.read_location_month(spark, target)
 
@@ -426,7 +427,8 @@ def best_run_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def factor_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = runs.factor_marginals(_run_results(spark, sf_dir), ["processing_mode", "shuffle_partitions", "config_id"])
+    factors = ["processing_mode", "shuffle_partitions", "config_id"]
+    table = runs.factor_marginals(_run_results(spark, sf_dir), factors)
     return table.withColumn("mean_seconds", F.round("mean_seconds", 6))
 
 
@@ -439,7 +441,8 @@ def success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def run_regressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     slow = runs.run_regressions(_run_results(spark, sf_dir), "processing_mode")
-    return slow.select("run_id", "processing_mode", "seconds", F.round("typical_seconds", 6).alias("typical_seconds"))
+    shown = slow.select("run_id", "processing_mode", "seconds", "typical_seconds")
+    return shown.withColumn("typical_seconds", F.round("typical_seconds", 6))
 
 
 @_query
@@ -453,6 +456,7 @@ def run_metrics_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def audit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = F.col("status") == runs.STATUS_FAILED
+    file = F.concat(F.lit("file-"), F.col("files_processed"))
     fields = runs.audit_fields(
         "logged_at",
         level=F.when(failed, "ERROR").otherwise("INFO"),
@@ -461,7 +465,7 @@ def audit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
             "job": F.col("processing_mode"),
             "layer": F.lit("bronze"),
             "run_id": F.col("run_id"),
-            "file_name": F.when(F.col("files_processed") > 0, F.concat(F.lit("file-"), F.col("files_processed").cast("string"))),
+            "file_name": F.when(F.col("files_processed") > 0, file),
             "exception": F.col("error"),
         },
     )
@@ -472,7 +476,7 @@ def audit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str, lineage: bool = True) -> DataFrame:
-    """Events as a stream. The glob also matches a single file, which the file source rejects as a plain path."""
+    """Events as a stream. The glob also matches a single file; a plain path must be a folder."""
     feed = feeds.table_feed(sf_dir, "events").at(f"{sf_dir}/events[.]parquet")
     return jobs.read_stream(spark, feed, lineage=lineage)
 

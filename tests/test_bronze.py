@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import bronze, gold, layers
 from tidemark.plans.bronze import FILE_LOOP, IngestOptions, ingest, ingest_with_fallback, read_bronze
 from tidemark.plans.sinks import WriteOptions, write_csv_by, write_table
-from tidemark.sources.feeds import directory_feed
+from tidemark.sources.feeds import directory_feed, table_feed
 
 AT = datetime(2024, 6, 1, tzinfo=timezone.utc)
 OPTIONS = IngestOptions(ingested_at=AT, write=WriteOptions(refresh="table"))
@@ -171,6 +171,19 @@ def test_layers(spark, feed, tmp_path):
     assert gold.read_location_month(spark, done.gold_location_month).count() == 3
 
 
+@pytest.mark.parametrize("mode", ["full_batch", FILE_LOOP])
+def test_columns_beyond_the_trip_schema_reach_silver(spark, data_dir, tmp_path, mode):
+    events = table_feed(data_dir, "events")
+    wider = replace(events, binding=(*events.binding, ("props", "props")))
+    feeds = [table_feed(data_dir, "orders"), wider]
+    done = layers.run_layers(spark, feeds, str(tmp_path / "lake"), replace(OPTIONS, mode=mode))
+    schema = bronze.bronze_schema(spark, feeds)
+    kept = read_bronze(spark, done.bronze, schema).filter("props is not null").count()
+    assert kept == spark.read.parquet(events.paths[0]).filter("get_json_object(props, '$.k') > 0").count()
+    assert spark.read.parquet(done.silver).select("pickup_month", "speed_mph").schema["pickup_month"].dataType.simpleString() == "string"
+    assert layers.read_silver(spark, done.silver).count() == read_bronze(spark, done.bronze).count()
+
+
 def test_silver_keeps_the_newest_copy_of_a_trip(spark, trips, tmp_path):
     from tidemark.plans import silver
 

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import pytest
 from conftest import rows_of
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schema import conform, schema_issues, struct, union_all
@@ -16,6 +18,14 @@ def test_conform_casts_fills_and_drops(spark):
     assert conform(df, TARGET, keep_extra=True).columns == ["a", "b", "c"]
 
 
+@pytest.mark.parametrize("wanted", ["int", "bigint", "double", "date", "boolean"])
+def test_text_is_cast_as_try_cast_does(spark, wanted):
+    texts = ["7", " 7 ", "+7", "-7", "7.5", "1e3", "NaN", "0x1F", "1-URGENT", "x", "", " ", "9" * 30, "true", "2024-01-01", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    target = T.StructType([T.StructField("v", T._parse_datatype_string(wanted))])
+    assert str(rows_of(conform(df, target))) == str(rows_of(df.select(F.col("v").try_cast(wanted))))
+
+
 def test_union_of_drifting_frames_keeps_all_rows_and_columns(spark):
     first = spark.createDataFrame([(1, 1.5)], "a int, b double")
     second = spark.createDataFrame([(2, 2, 3)], "a int, b int, c int")

@@ -11,6 +11,7 @@ from time import perf_counter
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.temporal import pickup_month
 from tidemark.operators.quality import TRIP_RULES, Rules, keep_valid
@@ -35,10 +36,11 @@ RUN_SCHEMA = (
 class IngestOptions:
     """Options of an ingestion run.
 
-    ``count_rows`` also counts the rows read, within the same job; the filters then run above
-    the scan instead of inside it, and with ``write.rebalance`` a scan task repeated after an
-    executor loss may count twice (:func:`file_metrics` is the exact query). ``keep_going`` records a failed source and continues with the
-    next one. ``ingested_at`` fixes the ingestion timestamp so that a run can be repeated.
+    ``count_rows`` also counts the rows read, within the same job. The filters then run above the
+    scan instead of inside it, and with ``write.rebalance`` a scan task repeated after an executor
+    loss may count twice (:func:`file_metrics` is the exact query). ``keep_going`` records a failed
+    source and continues with the next one. ``ingested_at`` fixes the ingestion timestamp so that a
+    run can be repeated. ``before_source`` is called before each source of a file loop is read.
     """
 
     mode: str = FULL_BATCH
@@ -67,8 +69,13 @@ def transform(df: DataFrame, rules: Rules = TRIP_RULES, ingested_at: datetime |
     return derive(keep_valid(df, rules), ingested_at)
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BRONZE_SCHEMA).parquet(path)
+def bronze_schema(spark: SparkSession, feeds: Sequence[Feed]) -> T.StructType:
+    """Schema of the bronze table of these feeds, with the columns they pass through."""
+    return transform(read_feeds(spark, feeds)).schema
+
+
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType = BRONZE_SCHEMA) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
 
 
 def month_slice(bronze: DataFrame, months: Sequence[str | None]) -> DataFrame:
@@ -93,7 +100,10 @@ def file_metrics(scan: DataFrame, rules: Rules = TRIP_RULES) -> DataFrame:
 
 
 def ingest(
-    spark: SparkSession, feeds: Sequence[Feed], target: str, options: IngestOptions = IngestOptions()
+    spark: SparkSession,
+    feeds: Sequence[Feed],
+    target: str,
+    options: IngestOptions = IngestOptions(),
 ) -> DataFrame:
     """Publish the feeds as a bronze table and return one row of run metrics per source.
 
@@ -112,12 +122,16 @@ def ingest(
     return spark.createDataFrame([(run_id, options.mode, *record) for record in records], RUN_SCHEMA)
 
 
-def _full_batch(spark: SparkSession, feeds: Sequence[Feed], target: str, options: IngestOptions) -> list[tuple]:
+def _full_batch(
+    spark: SparkSession, feeds: Sequence[Feed], target: str, options: IngestOptions
+) -> list[tuple]:
     files = sum(len(feed.paths) for feed in feeds)
     return [_publish(lambda: read_feeds(spark, feeds), ALL_FILES, files, target, options, "overwrite")]
 
 
-def _file_loop(spark: SparkSession, feeds: Sequence[Feed], target: str, options: IngestOptions) -> list[tuple]:
+def _file_loop(
+    spark: SparkSession, feeds: Sequence[Feed], target: str, options: IngestOptions
+) -> list[tuple]:
     # Overwriting only the months of the first file and appending the others would repeat rows
     # when the loop is run again, so the loop always rebuilds the table.
     rebuild = replace(options, write=replace(options.write, refresh="table"))

@@ -6,10 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.plans import gold, silver
-from tidemark.plans.bronze import IngestOptions, ingest, read_bronze
+from tidemark.plans.bronze import IngestOptions, bronze_schema, ingest, read_bronze
 from tidemark.plans.sinks import WriteOptions, write_table
+from tidemark.schema import SILVER_SCHEMA
 from tidemark.sources.feeds import Feed
 
 
@@ -41,15 +43,15 @@ def run_layers(
     }
     whole = replace(options, write=replace(options.write, refresh="table"))
     metrics = ingest(spark, feeds, paths["bronze"], whole)
-    layer = silver.silver(read_bronze(spark, paths["bronze"]))
+    layer = silver.silver(read_bronze(spark, paths["bronze"], bronze_schema(spark, feeds)))
     write_table(layer, paths["silver"], WriteOptions(refresh="table", rebalance=True))
 
-    clean = read_silver(spark, paths["silver"])
+    clean = read_silver(spark, paths["silver"], layer.schema)
     gold.daily_company(clean).write.mode("overwrite").parquet(paths["gold_daily_company"])
     gold.hour_weekday(clean).write.mode("overwrite").parquet(paths["gold_hour_weekday"])
     gold.refresh_location_month(clean, paths["gold_location_month"])
     return Layers(**paths, metrics=metrics)
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_silver(spark: SparkSession, path: str, schema: T.StructType = SILVER_SCHEMA) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)

@@ -52,6 +52,16 @@ BRONZE_SCHEMA = T.StructType(
     ]
 )
 
+SILVER_SCHEMA = T.StructType(
+    [
+        *BRONZE_SCHEMA.fields,
+        T.StructField("pickup_hour", T.IntegerType()),
+        T.StructField("pickup_dayofweek", T.IntegerType()),
+        T.StructField("pickup_month_num", T.IntegerType()),
+        T.StructField("speed_mph", T.DoubleType()),
+    ]
+)
+
 SCHEMA_ISSUES = "column_name string, issue string, expected string, actual string, bad_values long"
 
 
@@ -72,7 +82,19 @@ def _conformed(field: T.StructField, actual: T.DataType | None) -> Column:
         return F.lit(None).cast(field.dataType).alias(field.name)
     if actual == field.dataType:
         return F.col(field.name)
-    return F.col(field.name).try_cast(field.dataType).alias(field.name)
+    return cast_or_null(field.name, actual, field.dataType).alias(field.name)
+
+
+def cast_or_null(name: str, actual: T.DataType, wanted: T.DataType) -> Column:
+    """The value as another type, NULL where it does not fit.
+
+    A cast that fails costs an exception per row. Text with letters is never an integer, so a
+    column full of such text is recognised without trying.
+    """
+    value = F.col(name).try_cast(wanted)
+    if isinstance(actual, T.StringType) and isinstance(wanted, T.IntegralType):
+        return F.when(~F.col(name).rlike("[A-Za-z]"), value)
+    return value
 
 
 def union_all(frames: Sequence[DataFrame], target: T.StructType) -> DataFrame:
@@ -114,7 +136,7 @@ def schema_issues(df: DataFrame, target: T.StructType) -> DataFrame:
     if not issues:
         return df.sparkSession.createDataFrame([], SCHEMA_ISSUES)
     lost = [
-        F.count_if(F.col(n).isNotNull() & F.col(n).try_cast(wanted[n]).isNull()).alias(f"bad_{i}")
+        F.count_if(F.col(n).isNotNull() & cast_or_null(n, actual[n], wanted[n]).isNull()).alias(f"bad_{i}")
         for i, n in enumerate(retyped)
     ]
     return df.agg(F.count(F.lit(1)).alias("rows"), *lost).select(F.inline(F.array(*issues)))
