@@ -28,6 +28,26 @@ def test_longest_trips_with_fewer_trips_than_ranks(trips):
     assert got == {(2, 1), (1, 2), (3, 1)}
 
 
+def test_longest_trips_equal_a_plain_ranking(spark):
+    """Dates with many trips, few ids, one hot id, ties, NULL and NaN distances, and no date."""
+    rows = spark.range(20_000).selectExpr(
+        "case when id % 7 = 0 then 1 when id % 7 = 1 then id % 3 else id end as trip_id",
+        "case when id % 50 = 0 then null else"
+        " timestamp_ntz'2024-01-01 05:00:00' + make_dt_interval(cast(id % 7 as int)) end as pickup_datetime",
+        "case when id % 11 = 0 then null when id % 997 = 0 then double('NaN')"
+        " when id % 7 = 6 and id > 700 then null else double(pmod(hash(id), 300)) end as trip_miles",
+        "id as serial",
+    )
+    for n in (1, 5, 40):
+        plain = rows.withColumn("pickup_date", F.to_date("pickup_datetime")).selectExpr(
+            "pickup_date", "trip_id", "trip_miles",
+            "row_number() over (partition by pickup_date order by trip_miles desc, trip_id) as rank",
+        )
+        got = explore.longest_trips_per_day(rows, n).select(plain.columns)
+        # Compared as text: NaN is not equal to itself.
+        assert str(rows_of(got)) == str(rows_of(plain.filter(f"rank <= {n}")))
+
+
 def test_correlation_ignores_incomplete_pairs(trips):
     pairs = [(1.0, 2.0), (2.0, 4.0), (3.0, None), (4.0, 9.0)]
     df = trips(*[(i, at(1), m, 1, 1, "c", f) for i, (m, f) in enumerate(pairs)])
