@@ -24,6 +24,16 @@ from tidemark.scratch import new_dir
 from tidemark.sources import feeds, files
 from tidemark.streaming import jobs
 
+try:  # the subpackage for training text is optional
+    from tidemark.llm.queries import ORACLES as TEXT_ORACLES
+    from tidemark.llm.queries import QUERIES as TEXT_QUERIES
+except ImportError:
+    TEXT_QUERIES, TEXT_ORACLES = {}, {}
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -525,9 +535,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return explore.longest_trips_per_day(layers.read_silver(spark, tables.silver))
 
 
-def queries() -> dict[str, Query]:
+def core_queries() -> dict[str, Query]:
+    """The queries of the layered tables, without those of the optional subpackage."""
     return dict(_QUERIES)
 
 
+def queries() -> dict[str, Query]:
+    pipeline = {"pipeline": corpus_pipeline.run} if corpus_pipeline else {}
+    return {**_QUERIES, **TEXT_QUERIES, **pipeline}
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {}
+    return {**ORACLES, **TEXT_ORACLES, **pipeline}

@@ -7,7 +7,8 @@ from compare import actual_rows, duck, expected_rows
 
 import __spark_entry__ as register
 
-ORACLES = register.oracle_sql()
+QUERIES = register.core_queries()
+ORACLES = register.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,13 +17,13 @@ def connection(data_dir):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(register.queries())
-    assert set(register.queries()) - set(ORACLES) == {"file_catalog"}
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLES) == {"file_catalog"}
 
 
-@pytest.mark.parametrize("name", sorted(register.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, data_dir, connection):
-    types, rows = actual_rows(register.queries()[name](spark, data_dir))
+    types, rows = actual_rows(QUERIES[name](spark, data_dir))
     if name not in ORACLES:
         assert rows
         return
