@@ -381,7 +381,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     points = split_points(docs, 4 * parts)
     rows = docs.withColumn("_id", id_of()).withColumn("chunk", range_index(points))
     packed = rows.select("chunk", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        lambda batches: _unique_anchors(batches, 2 * parts, length),
+        lambda batches: _unique_anchors(batches, max(8, parts // 2), length),
         "bucket int, anchors binary, chunks binary, counts binary",
     )
     repeated = packed.groupBy("bucket").applyInPandas(_repeated_anchors, "chunk int, anchors binary, frequent binary")
