@@ -8,8 +8,9 @@ groups meet, one row for each different set, and are verified exactly. Large con
 out as pairs of tiles, so no task sees more than two tiles. A tile pair reports only the links that
 join something new, so a thousand near copies yield hundreds of rows rather than all pairs.
 
-The order of shingles comes from a sample of at most ``SAMPLE`` documents; any order gives the same
-result. Words are runs without white space, A-Z in lower case; with fewer words than a shingle has,
+The order is by document frequency, counted over all documents: shingles' leading 32 bits are packed in sorted
+arrays for each pair of task and bucket, and a range of documents gets back those that occur elsewhere
+with the magnitude of their count. Only shingles that occur elsewhere need to be listed. Words are runs without white space, A-Z in lower case; with fewer words than a shingle has,
 the whole sequence is the one shingle; null, empty and blank texts have none and no links. Rows
 without id take no part and have no component; rows that share an id share its links.
 """
@@ -19,21 +20,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import Forest, components
-from tidemark.llm.ranges import shuffle_partitions
+from tidemark.llm.ranges import range_index, shuffle_partitions, split_points
 from tidemark.llm.textkit import LOWER, U64, flat_text, mix, ragged, runs, slices, span_hashes, word_spans
 from tidemark.scratch import materialise
 
 SHINGLE = 4
 PERCENT = 85
-SAMPLE = 8_000
-FREQUENT = 200_000
 TILE = 64
-FLUSH = 1 << 20
+FLUSH = 1 << 21
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -61,24 +61,71 @@ def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.
     return np.append(0, np.cumsum(np.bincount(owner, minlength=n))), out
 
 
-def _common(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Shingles met in two or more documents of a slice."""
-    for batch in slices(batches, limit=4 << 20):
-        _, values = shingle_sets(batch.column("text"), width)
-        kinds, counts = np.unique(values, return_counts=True)
-        many = counts > 1
-        yield pa.RecordBatch.from_arrays([pa.array(kinds[many].view(np.int64)), pa.array(counts[many].astype(np.int64))], ["h", "n"])
+def _pack(values: np.ndarray) -> bytes:
+    """Ascending 32-bit integers as differences, byte plane by byte plane, which Spark's codec then shrinks."""
+    return np.diff(values, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def frequent_shingles(docs: DataFrame, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles common in a sample of documents, with a rank by frequency. Bounded by FREQUENT."""
-    every = max(1, -(-docs.count() // SAMPLE))
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
-    counts = sample.mapInArrow(lambda b: _common(b, width), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = counts.filter("n >= 3").orderBy(F.desc("n"), "h").limit(FREQUENT).collect()
-    h = np.array([r["h"] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(h)
-    return h[order], np.array([r["n"] for r in top], np.int64)[order]
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], buckets: int, width: int) -> Iterator[pa.RecordBatch]:
+    """The shingles of a task with range of documents and count, packed by bucket."""
+    held: list[tuple] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        short, chunk = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        key = np.sort(short.astype(np.uint64) << U64(32) | chunk.astype(np.uint64))
+        at = runs(key)
+        counts = np.minimum(np.diff(at), 255).astype(np.uint8)
+        short, chunk = (key[at[:-1]] >> U64(32)).astype(np.uint32), (key[at[:-1]] & U64(0xFFFFFFFF)).astype(np.int32)
+        bucket = (short.astype(np.int64) * buckets) >> 32
+        cuts = runs(bucket)
+        spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+        columns = [
+            pa.array([int(bucket[x]) for x, _ in spans], pa.int32()),
+            pa.array([_pack(short[x:y]) for x, y in spans], pa.binary()),
+            pa.array([chunk[x:y].tobytes() for x, y in spans], pa.binary()),
+            pa.array([counts[x:y].tobytes() for x, y in spans], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "shingles", "chunks", "counts"])
+
+    for batch in slices(batches):
+        begin, values = shingle_sets(batch.column("text"), width)
+        chunk = np.repeat(batch.column("chunk").to_numpy(), np.diff(begin))
+        held.append(((values >> U64(32)).astype(np.uint32), chunk))
+        size += len(values)
+        if size >= FLUSH:
+            yield flush()
+            size = 0
+    if size:
+        yield flush()
+
+
+def _elsewhere(bucket: pd.DataFrame) -> pd.DataFrame:
+    """For each range of documents its shingles of two documents or more, with the magnitude of their count."""
+    short = np.concatenate([_unpack(x) for x in bucket["shingles"]])
+    chunk = np.frombuffer(b"".join(bucket["chunks"]), np.int32)
+    counts = np.frombuffer(b"".join(bucket["counts"]), np.uint8)
+    order = np.argsort(short, kind="stable")
+    short, chunk, counts = short[order], chunk[order], counts[order]
+    at = runs(short)
+    total = np.add.reduceat(counts.astype(np.int64), at[:-1])
+    size = np.repeat(np.minimum(np.log2(total).astype(np.uint8), 63), np.diff(at))
+    keep = size > 0
+    short, chunk, size = short[keep], chunk[keep], size[keep]
+    order = np.argsort(chunk, kind="stable")
+    short, chunk, size = short[order], chunk[order], size[order]
+    at, out = runs(chunk), []
+    for x, y in zip(at[:-1].tolist(), at[1:].tolist()):
+        if y > x:
+            new = np.append(True, short[x + 1 : y] != short[x : y - 1])
+            out.append((int(chunk[x]), _pack(short[x:y][new]), size[x:y][new].tobytes()))
+    return pd.DataFrame(out, columns=["part", "shingles", "sizes"])
 
 
 OUT = "kind int, doc_id long, n int, sig1 long, sig2 long, grp long, bucket int, tokens binary, groups binary, low binary, high binary"
@@ -112,8 +159,24 @@ def _chains(token: np.ndarray, group: np.ndarray, low: np.ndarray, high: np.ndar
     return a, b, token[head], group[head], low[head], top
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, rank: np.ndarray, buckets: int, width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a row for each document. Kind 1: edges of groups. Kind 2: packed postings."""
+def _prefixes(docs: pd.DataFrame, shared: pd.DataFrame, buckets: int, width: int, percent: int) -> pd.DataFrame:
+    """Of a range of documents. Kind 0: a row for each. Kind 1: edges of groups. Kind 2: packed postings."""
+    parts = [_unpack(x) for x in shared["shingles"]]
+    common = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+    rank = np.frombuffer(b"".join(shared["sizes"]), np.uint8).astype(np.int64)
+    order = np.argsort(common, kind="stable")
+    common, rank = common[order], rank[order]
+    texts = pa.RecordBatch.from_arrays(
+        [pa.array(docs["doc_id"], pa.int64(), from_pandas=True), pa.array(docs["text"], pa.string())], ["doc_id", "text"]
+    )
+    found = list(_prefix_rows(iter([texts]), common, rank, buckets, width, percent))
+    table = pa.Table.from_batches(found, pa.schema(list(zip(NAMES, TYPES))))
+    return table.to_pandas(integer_object_nulls=True)
+
+
+def _prefix_rows(
+    batches: Iterator[pa.RecordBatch], common: np.ndarray, rank: np.ndarray, buckets: int, width: int, percent: int
+) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     size = 0
 
@@ -145,10 +208,11 @@ def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, rank: np.nd
         owner = np.repeat(np.arange(len(n)), n)
         weight = np.zeros(len(values), np.int64)
         if len(common):
-            spot = np.minimum(np.searchsorted(common, values), len(common) - 1)
-            weight = np.where(common[spot] == values, rank[spot], 0)
+            short = (values >> U64(32)).astype(np.uint32)
+            spot = np.minimum(np.searchsorted(common, short), len(common) - 1)
+            weight = np.where(common[spot] == short, rank[spot], 0)
         order = np.lexsort((values, weight, owner))
-        values = values[order]
+        values, weight = values[order], weight[order]
         length = np.where(n > 0, n + (-percent * n // 100) + 1, 0)  # n - ceil(percent n / 100) + 1
         prefix = ragged(n) < length[owner]
         add = lambda x, of: np.array([np.add.reduce(x[i:j], dtype=np.uint64) for i, j in zip(of[:-1], of[1:])], np.uint64)
@@ -160,9 +224,9 @@ def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, rank: np.nd
             len(n), kind=np.zeros(len(n), np.int32), doc_id=ids, n=n.astype(np.int32),
             sig1=sig1.view(np.int64), sig2=sig2.view(np.int64), grp=group,
         )
-        known = np.array(ids.is_valid())[owner[prefix]]
-        held.append((values[prefix][known], group[owner[prefix]][known], n[owner[prefix]][known]))
-        size += int(prefix.sum())
+        listed = prefix & (weight > 0) & np.array(ids.is_valid())[owner]
+        held.append((values[listed], group[owner[listed]], n[owner[listed]]))
+        size += int(listed.sum())
         if size >= FLUSH:
             yield from flush()
             size = 0
@@ -170,9 +234,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], common: np.ndarray, rank: np.nd
         yield from flush()
 
 
-def _bucket_edges(bucket, percent: int):
-    import pandas as pd
-
+def _bucket_edges(bucket: pd.DataFrame, percent: int) -> pd.DataFrame:
     token = np.frombuffer(b"".join(bucket["tokens"]), np.uint64)
     group = np.frombuffer(b"".join(bucket["groups"]), np.int64)
     low, high = (np.frombuffer(b"".join(bucket[c]), np.int32).astype(np.int64) for c in ("low", "high"))
@@ -230,9 +292,13 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    common, rank = frequent_shingles(rows, width)
-    shared = spark.sparkContext.broadcast((common, rank))
-    scanned = materialise(rows.mapInArrow(lambda b: _prefixes(b, *shared.value, 2 * parts, width, percent), OUT), "shingles")
+    ranged = rows.withColumn("chunk", range_index(split_points(rows, 2 * parts)))
+    counted = ranged.select("chunk", "text").mapInArrow(
+        lambda b: _counted(b, 2 * parts, width), "bucket int, shingles binary, chunks binary, counts binary"
+    )
+    shared = counted.groupBy("bucket").applyInPandas(_elsewhere, "part int, shingles binary, sizes binary")
+    prefixes = ranged.groupBy("chunk").cogroup(shared.groupBy("part"))
+    scanned = materialise(prefixes.applyInPandas(lambda d, c: _prefixes(d, c, 2 * parts, width, percent), OUT), "shingles")
     each = scanned.filter("kind = 0").select("doc_id", "n", "sig1", "sig2", "grp")
     near = scanned.filter("kind = 1").select(F.col("doc_id").alias("a"), F.col("grp").alias("b"))
     packed = scanned.filter("kind = 2").select("bucket", "tokens", "groups", "low", "high")
