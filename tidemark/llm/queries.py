@@ -123,21 +123,21 @@ ORACLES = {
     "op2_line_dedup": f"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
             FROM documents
         ), keyed AS (
-            SELECT doc_id, at, line,
+            SELECT doc_id, pos, line,
                    translate(trim(line, {_STRIP}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
             FROM lines
         ), frequent AS (
             SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
             GROUP BY key HAVING count(DISTINCT doc_id) >= 5
         ), marked AS (
-            SELECT k.doc_id, at, line, f.key IS NOT NULL AND k.doc_id <> f.keeper AS gone
+            SELECT k.doc_id, pos, line, f.key IS NOT NULL AND k.doc_id <> f.keeper AS gone
             FROM keyed k LEFT JOIN frequent f ON k.key = f.key
         )
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
     "op5_token_counts": """
         WITH marks AS (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
@@ -157,13 +157,13 @@ ORACLES = {
         FROM counted GROUP BY source, lang, tokenizer""",
     "op7_exact_top_k": """
         WITH whole AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), pairs AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
             FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
             WHERE q.vec_id % 100 = 0
         ), ranked AS (
