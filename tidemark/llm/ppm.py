@@ -31,7 +31,7 @@ from tidemark.llm.textkit import LOWER, flat_text, ragged, runs, slices, span_ha
 from tidemark.scratch import materialise
 
 ORDER = 5
-MAX_NODES = 1 << 21
+MAX_NODES = 1 << 20
 SYMBOLS = 257
 END = "\n"  # no word holds it
 FLUSH_BYTES = 12 << 20
@@ -212,9 +212,9 @@ def score(docs: DataFrame, held_out: Column, max_nodes: int = MAX_NODES) -> Data
         share = 1 - max_nodes / size
         least = nodes.agg(F.percentile_approx("n", share, 10_000).alias("n")).first()["n"]
         nodes = nodes.filter(F.col("n") > least)
-    entries = nodes.toPandas()
-    trie = Trie(entries["node"].to_numpy(np.int64), entries["n"].to_numpy(np.int64))
-    shared = spark.sparkContext.broadcast(trie)
+    entries = nodes.toArrow()  # columns, not rows: 16 bytes an entry
+    shared = spark.sparkContext.broadcast(Trie(entries.column("node").to_numpy(), entries.column("n").to_numpy()))
+    del entries
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
