@@ -34,7 +34,7 @@ ORDER = 5
 MAX_NODES = 1 << 20
 SYMBOLS = 257
 END = "\n"  # no word holds it
-FLUSH_BYTES = 12 << 20
+FLUSH_BYTES = 24 << 20
 
 ROWS = (
     "block string, code int, word string, trained long,"
