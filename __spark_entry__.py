@@ -38,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 FEEDS = ("events", "orders", "lineitem")
+FILE_CAP = 500
 INGESTED_AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
 MONTHLY = WriteOptions(refresh="table", rebalance=True)
 QUALITY_RULES = {**quality.TRIP_RULES, "trip_miles_plausible": "trip_miles <= 100"}
@@ -218,20 +219,18 @@ def bronze_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def bronze_file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files per month respect the row cap; the cap is set so that months need several files."""
+    """Files per month respect the row cap, a fixed one so small that months need several files."""
     rows = feeds.read_trips(spark, sf_dir, "lineitem")
-    total = feeds.raw_table(spark, sf_dir, "lineitem").count()
-    cap = min(WriteOptions.max_records_per_file, max(1, total // 200))
     target = new_dir(spark, "bronze")
-    capped = WriteOptions(refresh="table", rebalance=True, max_records_per_file=cap)
+    capped = WriteOptions(refresh="table", rebalance=True, max_records_per_file=FILE_CAP)
     write_table(bronze.transform(rows, ingested_at=INGESTED_AT), target, capped)
     sizes = bronze.read_bronze(spark, target).groupBy(
         "pickup_month", F.col("_metadata.file_path").alias("path")
     ).agg(F.count(F.lit(1)).alias("n"))
     return sizes.groupBy("pickup_month").agg(
         F.sum("n").alias("row_count"),
-        F.count_if(F.col("n") > cap).alias("files_over_cap"),
-        (F.count(F.lit(1)) * F.lit(cap) >= F.sum("n")).alias("enough_files"),
+        F.count_if(F.col("n") > FILE_CAP).alias("files_over_cap"),
+        (F.count(F.lit(1)) * F.lit(FILE_CAP) >= F.sum("n")).alias("enough_files"),
     )
 
 

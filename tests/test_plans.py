@@ -98,9 +98,9 @@ def test_regressions_without_broadcast_give_the_same_rows(spark, data_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-@pytest.mark.parametrize("name", sorted(register.queries()))
+@pytest.mark.parametrize("name", sorted(register.core_queries()))
 def test_no_python_in_plans_and_no_cross_join(name, spark, data_dir):
-    plan = physical(register.queries()[name](spark, data_dir))
+    plan = physical(register.core_queries()[name](spark, data_dir))
     for banned in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert banned not in plan
     # Whole metadata structs appear when lineage is read and then dropped.

@@ -18,6 +18,7 @@ def without_nan(name: str) -> Column:
 
 
 def hash_fraction(key: str) -> Column:
-    """A number in [0, 1) that depends on the key value only (leading 32 bits of its MD5)."""
-    head = F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8)
+    """A number in [0, 1) that depends on the key value only (leading 32 bits of its MD5); NULL counts as ''."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    head = F.substring(F.md5(text.cast("binary")), 1, 8)
     return F.conv(head, 16, 10).cast("double") / F.lit(float(2**32))

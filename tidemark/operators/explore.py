@@ -104,7 +104,7 @@ def _could_rank(dated: DataFrame, n: int, c: TripColumns) -> DataFrame:
         .agg(F.get(F.sort_array(F.collect_list("miles"), asc=False), F.lit(n - 1)).alias("limit"))
     )
     return (
-        dated.join(F.broadcast(longest), F.col("pickup_date").eqNullSafe(F.col("limit_date")), "left")
+        dated.join(longest, F.col("pickup_date").eqNullSafe(F.col("limit_date")), "left")
         .filter(F.col("limit").isNull() | (F.col(c.miles) >= F.col("limit")))
         .drop("limit_date", "limit")
     )
@@ -118,8 +118,9 @@ def fare_distance_corr(df: DataFrame, c: TripColumns = TRIPS) -> DataFrame:
 def distance_histogram(
     df: DataFrame, low: float, high: float, bins: int = 50, c: TripColumns = TRIPS
 ) -> DataFrame:
-    """Trips per equal-width distance bin; bin 0 lies below ``low``, bin ``bins + 1`` from ``high`` on."""
-    bin_no = F.width_bucket(F.col(c.miles), F.lit(float(low)), F.lit(float(high)), F.lit(bins))
+    """Trips per equal-width distance bin; bin 0 lies below ``low``, bin ``bins + 1`` from ``high`` on, NaN included."""
+    inside = F.width_bucket(F.col(c.miles), F.lit(float(low)), F.lit(float(high)), F.lit(bins))
+    bin_no = F.when(F.isnan(c.miles), F.lit(bins + 1).cast("long")).otherwise(inside)
     return (
         df.filter(F.col(c.miles).isNotNull())
         .groupBy(bin_no.alias("bin"))

@@ -53,14 +53,14 @@ def hourly_demand(df: DataFrame, delay: str, c: TripColumns = TRIPS) -> DataFram
 
 
 def dedup(
-    df: DataFrame, keys: list[str], delay: str, two_steps: bool = True, c: TripColumns = TRIPS
+    df: DataFrame, keys: list[str], delay: str, two_steps: bool = False, c: TripColumns = TRIPS
 ) -> DataFrame:
     """The first copy of each key within the watermark delay.
 
-    A key holding much of the stream would go to one state partition. Copies are therefore first
-    reduced per (key, input partition), which spreads them over the cluster, and only the survivors,
-    at most one per key and input partition, meet in the second step. Without hot keys the first
-    step can be left out. Copies further apart than the delay may or may not be dropped.
+    A key holding much of the stream goes to one state partition. For such streams ``two_steps``
+    first reduces copies per (key, input partition), which spreads them over the cluster; only the
+    survivors, at most one per key and input partition, meet in the second step. It costs a second
+    stateful shuffle. Copies further apart than the delay may or may not be dropped.
     """
     timed = df.withColumn("event_time", event_time(c.pickup)).withWatermark("event_time", delay)
     if two_steps:
