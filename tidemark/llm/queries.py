@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, fingerprints, jaccard_join, line_dedup, mtree, packing, ppm, quality, substring_dedup, token_counts
 from tidemark.llm.shipping import ship
+from tidemark.scratch import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -68,17 +69,16 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents arrive; those of low quality are deleted, twice by mistake; toxic ones are recounted without their first line."""
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    counts = token_counts.counted(docs)
+    counts = materialise(token_counts.counted(docs), "counts")  # joins below move counts, never texts
     rollup = token_counts.Rollup(spark)
     rollup.commit(1, token_counts.inserts(counts))
-    marked = docs.join(marks, "doc_id")
-    low = token_counts.deletes(token_counts.counted(marked.filter("quality = 0")))
+    low = token_counts.deletes(counts.join(marks.filter("quality = 0"), "doc_id"))
     rollup.commit(2, low)
     rollup.commit(2, low)
-    toxic = marked.filter("quality = 1 AND toxic = 1")
+    toxic = marks.filter("quality = 1 AND toxic = 1")
     rest = F.expr("CASE WHEN instr(text, '\n') > 0 THEN substring(text, instr(text, '\n') + 1) ELSE '' END")
-    shorter = token_counts.counted(toxic.withColumn("text", rest))
-    rollup.commit(3, token_counts.recounts(token_counts.counted(toxic), shorter))
+    shorter = token_counts.counted(docs.withColumn("text", rest)).join(toxic, "doc_id")
+    rollup.commit(3, token_counts.recounts(counts.join(toxic, "doc_id"), shorter))
     return rollup.totals()
 
 
