@@ -132,29 +132,44 @@ def test_token_counts(spark, docs):
 
 
 def plain_ppm(counts: dict[str, int]):
-    contexts: dict[bytes, collections.Counter] = {}
     ended = lambda w: b" " + w.encode() + (b"" if w == "\n" else b" ")
+
+    def chain(s: bytes, p: int) -> list[tuple[int, bytes]]:
+        whole = [(2 + min(p, 6), s[:p])] if p <= ppm.DEPTH else []
+        return whole + [(k, s[p - k : p]) for k in range(ppm.ORDER, -1, -1) if k < p or p > ppm.DEPTH]
+
+    contexts: dict[tuple, collections.Counter] = {}
     for word, n in counts.items():
         s = ended(word)
         for p in range(1, len(s)):
-            for k in range(min(p, ppm.ORDER) + 1):
-                contexts.setdefault(s[p - k : p], collections.Counter())[s[p]] += n
+            # short contexts are counted everywhere, also where the whole beginning is as short
+            for key in {*chain(s, p), *((k, s[p - k : p]) for k in range(min(p, ppm.ORDER) + 1))}:
+                contexts.setdefault(key, collections.Counter())[s[p]] += n
+    cell = lambda kind, n, d: (kind, min(n.bit_length(), 20), min(d, 12))
+    seen, escaped = collections.Counter(), collections.Counter()
+    for (kind, _), known in contexts.items():
+        n, d, once = sum(known.values()), len(known), sum(x == 1 for x in known.values())
+        seen[cell(kind, n - 1, d - 1)] += once
+        escaped[cell(kind, n - 1, d - 1)] += once
+        seen[cell(kind, n - 1, d)] += n - once
 
     def cost(word: str) -> float:
         s, total = ended(word), 0.0
         for p in range(1, len(s)):
             hidden: set[int] = set()
-            for k in range(min(p, ppm.ORDER), -1, -1):
-                known = contexts.get(s[p - k : p])
+            for key in chain(s, p):
+                known = contexts.get(key)
                 if known is None:
                     continue
                 left = sum(n for x, n in known.items() if x not in hidden)
                 kinds = sum(x not in hidden for x in known)
-                if s[p] in known:
-                    total += math.log10(known[s[p]] / (left + kinds))
-                    break
                 if kinds:
-                    total += math.log10(kinds / (left + kinds))
+                    at = cell(key[0], left, kinds)
+                    escape = (escaped[at] + 0.5) / (seen[at] + 1)
+                    if s[p] in known:
+                        total += math.log10(known[s[p]] / left * (1 - escape))
+                        break
+                    total += math.log10(escape)
                 hidden = set(known)
             else:
                 total -= math.log10(ppm.SYMBOLS - len(hidden))
