@@ -19,7 +19,7 @@ select o_orderkey as trip_id, o_orderdate as pickup_datetime, o_totalprice as tr
 from orders"""
 
 LINEITEM = """
-select l_orderkey as trip_id, l_shipdate as pickup_datetime, l_quantity as trip_miles,
+select l_orderkey * 8 + l_linenumber as trip_id, l_shipdate as pickup_datetime, l_quantity as trip_miles,
        l_linenumber as trip_time, l_suppkey as "PULocationID",
        l_returnflag as hvfhs_license_num, l_extendedprice as base_passenger_fare
 from lineitem"""

@@ -201,3 +201,18 @@ def test_raw_files_of_one_directory_limit(spark, raw_dir, trips):
         "a-first.parquet",
         "trips-0.parquet",
     ]
+
+
+def test_a_failed_rebuild_leaves_the_old_table(spark, feed, tmp_path):
+    target = str(tmp_path / "table")
+    whole = replace(OPTIONS, write=replace(OPTIONS.write, refresh="table"))
+    ingest(spark, [feed], target, whole)
+    before = read_bronze(spark, target).count()
+    junk = tmp_path / "junk.parquet"
+    junk.write_bytes(b"junk")
+    bad = replace(feed, paths=(*feed.paths, str(junk)))
+    with pytest.raises(Exception):
+        ingest(spark, [bad], target, whole)
+    assert before > 0 and read_bronze(spark, target).count() == before
+    ingest(spark, [feed], target, whole)
+    assert read_bronze(spark, target).count() == before

@@ -24,3 +24,11 @@ def test_each_task_sends_one_copy_of_a_hot_key(spark):
     assert once.count() == df.select("k").distinct().count()
     plan = once._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_a_key_with_a_null_part_merges_only_equal_rows(spark):
+    old, new = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    data = [(None, 1, old, "a"), (None, 1, new, "b"), (None, 1, new, "a"), (1, 1, old, "a"), (1, 1, new, "b")]
+    df = spark.createDataFrame(data, "k long, m long, seen timestamp, v string")
+    got = {(r.k, r.m, r.seen, r.v) for r in keep_latest(df, ["k", "m"], "seen").collect()}
+    assert got == {(None, 1, new, "a"), (None, 1, new, "b"), (1, 1, new, "b")}

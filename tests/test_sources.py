@@ -76,3 +76,25 @@ def test_columns_beyond_the_trip_schema_pass_through(spark, data_dir):
     assert feeds.read_feed(spark, wider).columns[-1] == "props"
     both = feeds.read_feeds(spark, [wider, feeds.table_feed(data_dir, "orders")])
     assert both.filter("props is null").count() == spark.read.parquet(f"{data_dir}/orders.parquet").count()
+
+
+def test_any_file_name_is_read_and_recognised(spark, raw_dir, tmp_path):
+    source = (raw_dir / "trips-0.parquet").read_bytes()
+    folder = tmp_path / "odd names"
+    folder.mkdir()
+    for name in ("trips 1", "50%", "a+b", "größe", "plain%20"):
+        (folder / f"{name}.parquet").write_bytes(source)
+    listing = files.catalog(spark, str(folder))
+    rows, report = files.tolerant_read(spark, listing, TRIP_SCHEMA)
+    assert rows.count() == 500 and {r.status for r in report.collect()} == {"ok"}
+    seen = files.seen_files(spark.read.schema(TRIP_SCHEMA).parquet(str(folder)))
+    assert files.new_files(listing, seen).count() == 0
+
+
+def test_an_empty_file_is_ok_and_a_skipped_one_has_its_error(spark, tmp_path):
+    empty = str(tmp_path / "in")
+    spark.createDataFrame([], TRIP_SCHEMA).coalesce(1).write.parquet(empty)
+    (tmp_path / "in" / "junk.parquet").write_bytes(b"junk")
+    _, report = files.tolerant_read(spark, files.catalog(spark, empty), TRIP_SCHEMA)
+    found = {r.status: (r.rows, r.error is None) for r in report.collect()}
+    assert found["skipped"] == (0, False) and found.get("ok", (0, True)) == (0, True)

@@ -11,6 +11,11 @@ def scanned_file() -> Column:
     return F.col("_metadata.file_path")
 
 
+def plain_path(uri: Column) -> Column:
+    """The path a file's URI stands for, as a file listing shows it: escapes resolved, a plus stays a plus."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def file_name(path: str | Column) -> Column:
     """Last component of a path."""
     return F.substring_index(path, "/", -1)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.scratch import materialise
+
 
 @dataclass(frozen=True)
 class WriteOptions:
@@ -43,6 +46,9 @@ def write_table(
 
     ``written`` receives the number of rows as ``n``. It is taken in the writing tasks, after any
     shuffle, where a task that is run again counts once.
+
+    A table that is replaced as a whole is deleted only when its successor lies complete in shared
+    storage: rows that cannot be read or computed fail the write and leave the old table.
     """
     laid_out = df.coalesce(options.coalesce_n) if options.coalesce_n else df
     if options.rebalance:
@@ -50,6 +56,8 @@ def write_table(
     if written is not None:
         laid_out = laid_out.observe(written, F.count(F.lit(1)).alias("n"))
     dynamic = options.refresh == "partitions"
+    if mode == "overwrite" and not dynamic and _exists(df.sparkSession, path):
+        laid_out = materialise(laid_out, "successor")
     (
         laid_out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -60,6 +68,14 @@ def write_table(
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def write_csv_by(df: DataFrame, path: str, key: str, mode: str = "overwrite") -> None:
     """Write CSV with a header, one folder per ``key`` value and few files in each."""
     df.hint("rebalance", key).write.mode(mode).option("header", True).partitionBy(key).csv(path)

@@ -77,7 +77,7 @@ BINDINGS: dict[str, dict[str, str]] = {
         "hvfhs_license_num": "o_orderstatus",
     },
     "lineitem": {
-        "trip_id": "l_orderkey",
+        "trip_id": "l_orderkey * 8 + l_linenumber",  # an order has at most seven lines
         "pickup_datetime": "l_shipdate",
         "trip_miles": "l_quantity",
         "trip_time": "l_linenumber",

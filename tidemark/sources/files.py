@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.lineage import scanned_file
+from tidemark.functions.lineage import plain_path, scanned_file
+from tidemark.scratch import materialise
 
 
 def catalog(
@@ -38,8 +41,11 @@ def catalog_paths(files: DataFrame) -> list[str]:
 
 
 def seen_files(df: DataFrame) -> DataFrame:
-    """Files a scan touches with the rows it takes from each; reads Parquet footers only."""
-    return df.groupBy(scanned_file().alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+    """Files a scan touches with the rows it takes from each; reads Parquet footers only.
+
+    Paths are written as in :func:`catalog`, whatever characters they hold.
+    """
+    return df.groupBy(plain_path(scanned_file()).alias("path")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def new_files(files: DataFrame, ingested: DataFrame) -> DataFrame:
@@ -54,16 +60,28 @@ def readable_files(spark: SparkSession, paths: Sequence[str], schema: T.StructTy
 
 
 def file_report(spark: SparkSession, files: DataFrame, schema: T.StructType) -> DataFrame:
-    """Catalog entries with ``status`` ok / skipped and the rows each file holds.
+    """Catalog entries with ``status`` ok / skipped, the rows each file holds, and the ``error`` of a skipped one.
 
-    An empty but valid file counts as skipped: it has nothing to read.
+    The probe of all files does not tell an unreadable file from an empty one or from a passing I/O
+    error. Files it finds no rows in, expected to be few, are opened again one by one, strictly. The
+    report is written once, so that all who use it see the same.
     """
     readable = readable_files(spark, catalog_paths(files), schema)
-    return (
-        files.join(readable, "path", "left")
-        .withColumn("status", F.when(F.col("rows").isNull(), "skipped").otherwise("ok"))
-        .withColumn("rows", F.coalesce("rows", F.lit(0)))
-    )
+    probed = materialise(files.join(readable, "path", "left"), "probe")
+    again = [(path, *_strict_rows(spark, path, schema)) for path in catalog_paths(probed.filter("rows IS NULL"))]
+    second = spark.createDataFrame(again, "path string, second long, error string")
+    status = F.when(F.coalesce("rows", "second").isNull(), "skipped").otherwise("ok")
+    report = probed.join(second, "path", "left").withColumn("status", status)
+    counted = report.withColumn("rows", F.coalesce("rows", "second", F.lit(0)))
+    return materialise(counted.select(*files.columns, "rows", "status", "error"), "report")
+
+
+def _strict_rows(spark: SparkSession, path: str, schema: T.StructType) -> tuple[int | None, str | None]:
+    strict = spark.read.schema(schema).option("ignoreCorruptFiles", "false")
+    try:
+        return strict.parquet(path).count(), None
+    except (PySparkException, Py4JJavaError) as failure:
+        return None, str(failure).split("\n")[0]
 
 
 def tolerant_read(
