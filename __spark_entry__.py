@@ -18,6 +18,7 @@ from tidemark.functions.lineage import feed_name, file_name
 from tidemark.operators import dedup, explore, quality, runs
 from tidemark.plans import bronze, gold, layers, silver
 from tidemark.plans.bronze import FILE_LOOP, IngestOptions
+from tidemark.plans.incremental import ingest_new
 from tidemark.plans.sinks import WriteOptions, write_csv_by, write_table
 from tidemark.schema import BRONZE_SCHEMA, TRIP_SCHEMA, schema_issues, union_all
 from tidemark.scratch import new_dir
@@ -101,7 +102,36 @@ def _run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def file_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.catalog(spark, sf_dir).select(file_name("path").alias("file_name"), "bytes", "modificationTime")
+    """The first two raw files by name, their bytes, and the rows a scan takes from each."""
+    found = files.catalog(spark, [feeds.table_path(sf_dir, table) for table in FEEDS], limit=2)
+    scans = [files.seen_files(feeds.raw_table(spark, sf_dir, table)) for table in FEEDS]
+    rows = scans[0].unionByName(scans[1]).unionByName(scans[2])
+    return found.join(rows, "path").select(
+        file_name("path").alias("file_name"),
+        (F.col("bytes") > 0).alias("has_bytes"),
+        F.col("modificationTime").isNotNull().alias("has_time"),
+        F.col("rows").alias("row_count"),
+    )
+
+
+@_query
+def drifting_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events delivered as three files: integer seconds, seconds as double and a new column, long seconds."""
+    raw = new_dir(spark, "raw")
+    trips = feeds.read_trips(spark, sf_dir, "events")
+    shapes = {
+        "1": trips,
+        "2": trips.withColumns({"trip_time": F.col("trip_time").cast("double"), "tips": F.col("trip_miles") / 4}),
+        "3": trips.withColumn("trip_time", F.col("trip_time").cast("long")),
+    }
+    for number, shape in shapes.items():
+        part = shape.filter(F.col("trip_id") % 3 == int(number) - 1)
+        part.write.parquet(f"{raw}/trips {number}.parquet")
+    target = new_dir(spark, "bronze")
+    found = feeds.directory_feeds(spark, [f"{raw}/trips {number}.parquet" for number in shapes])
+    bronze.ingest(spark, found, target, _options())
+    rows = spark.read.schema(bronze.bronze_schema(spark, found)).parquet(target)
+    return _shown(rows).withColumn("source_file", F.replace("source_file", F.lit("%20"), F.lit(" ")))
 
 
 @_query
@@ -204,6 +234,17 @@ def bronze_file_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(bronze.read_bronze(spark, target))
 
 
+@_query
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events first, then all feeds through the same ledger, then a run that finds nothing new."""
+    target, ledger = new_dir(spark, "bronze"), new_dir(spark, "ledger")
+    options = _options(write=WriteOptions(rebalance=True))
+    everything = _all_feeds(sf_dir)
+    for arrived in (everything[:1], everything, everything):
+        ingest_new(spark, arrived, target, ledger, options)
+    return _shown(bronze.read_bronze(spark, target))
+
+
 @_query
 def bronze_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file loop fails at its second source; the full batch takes over."""

@@ -145,6 +145,9 @@ ORACLES: dict[str, str] = {
     "dataset_overview": """
         select 11 as column_count, cast(count(*) as bigint) as row_count, cast(1 as bigint) as file_count,
                true as has_partitions, true as has_bytes from lineitem""",
+    "file_catalog": """
+        select 'events.parquet' as file_name, true as has_bytes, true as has_time, count(*) as row_count from events
+        union all select 'lineitem.parquet', true, true, count(*) from lineitem""",
     "incremental_files": f"select * from ({FILE_METRICS}) where file_name = 'lineitem.parquet'",
     "union_by_name": ALL_TRIPS,
     "schema_check": """
@@ -159,6 +162,10 @@ ORACLES: dict[str, str] = {
     "bronze_transform": _bronze(LINEITEM, "lineitem"),
     "bronze_roundtrip": _bronze(LINEITEM, "lineitem"),
     "bronze_full_batch": _bronze(ALL_RAW),
+    "incremental_ingest": _bronze(ALL_RAW),
+    "drifting_files": f"""
+        select * , case when trip_id % 3 = 1 then trip_miles / 4 end as tips
+        from ({_bronze("select *, 'trips ' || (trip_id % 3 + 1) || '.parquet' as source_file from (" + EVENTS + ")")})""",
     "bronze_file_loop": _bronze(ALL_RAW),
     "bronze_fallback": _bronze(ALL_RAW),
     "bronze_file_sizes": f"""

@@ -8,10 +8,10 @@ from conftest import put_file, rows_of
 
 from pyspark.sql import functions as F
 
-from tidemark.plans import bronze, gold, layers
+from tidemark.plans import bronze, gold, incremental, layers
 from tidemark.plans.bronze import FILE_LOOP, IngestOptions, ingest, ingest_with_fallback, read_bronze
-from tidemark.plans.sinks import WriteOptions, write_csv_by, write_table
-from tidemark.sources.feeds import directory_feed, table_feed
+from tidemark.plans.sinks import WriteOptions, read_table, write_csv_by, write_table
+from tidemark.sources.feeds import directory_feed, directory_feeds, table_feed
 
 AT = datetime(2024, 6, 1, tzinfo=timezone.utc)
 OPTIONS = IngestOptions(ingested_at=AT, write=WriteOptions(refresh="table"))
@@ -216,3 +216,84 @@ def test_a_failed_rebuild_leaves_the_old_table(spark, feed, tmp_path):
     assert before > 0 and read_bronze(spark, target).count() == before
     ingest(spark, [feed], target, whole)
     assert read_bronze(spark, target).count() == before
+
+
+def test_a_second_run_adds_its_files_and_keeps_the_rows_of_others(spark, trips, tmp_path):
+    """20 rows of January, then a file with 5 of February and 1 of January: 26 rows in both modes."""
+    put_file(trips(*[(i, datetime(2024, 1, 2), 1.0, 60) for i in range(20)]), tmp_path / "a.parquet")
+    put_file(
+        trips(*[(20 + i, datetime(2024, 2, 1), 1.0, 60) for i in range(5)], (25, datetime(2024, 1, 31), 1.0, 60)),
+        tmp_path / "b.parquet",
+    )
+    whole = directory_feed(spark, str(tmp_path))
+    a, b = whole.per_path()
+    for mode in (bronze.FULL_BATCH, FILE_LOOP):
+        plain, logged, ledger = (str(tmp_path / f"{mode}-{name}") for name in ("plain", "logged", "ledger"))
+        options = IngestOptions(mode=mode, ingested_at=AT)
+        for feed in (a, b, b, whole):
+            ingest(spark, [feed], plain, options)
+        for feed in (a, whole):
+            incremental.ingest_new(spark, [feed], logged, ledger, options)
+        assert incremental.ingest_new(spark, [whole], logged, ledger, options).count() == 0
+        for target in (plain, logged):
+            assert sorted(r.trip_id for r in read_bronze(spark, target).collect()) == list(range(26))
+        done = incremental.ingested_files(incremental.read_ledger(spark, ledger)).collect()
+        assert {(r.path.rsplit("/", 1)[-1], r.rows, r.known) for r in done} == {
+            ("a.parquet", 20, True),
+            ("b.parquet", 6, True),
+        }
+
+
+def test_changed_and_interrupted_files_are_taken_once(spark, trips, tmp_path, monkeypatch):
+    target, ledger = str(tmp_path / "table"), str(tmp_path / "ledger")
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    put_file(trips(*[(i, datetime(2024, 1, 2), 1.0, 60) for i in range(3)]), raw / "a+ä 1.parquet")
+    put_file(trips((9, datetime(2024, 3, 1), 1.0, 60)), raw / "b.parquet")
+    feed = directory_feed(spark, str(raw))
+    options = IngestOptions(ingested_at=AT)
+    record = incremental._record
+
+    def lost(files, ledger, run_id, state):
+        if state == incremental.DONE:
+            raise RuntimeError("driver lost")
+        record(files, ledger, run_id, state)
+
+    monkeypatch.setattr(incremental, "_record", lost)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        incremental.ingest_new(spark, [feed], target, ledger, options)
+    monkeypatch.setattr(incremental, "_record", record)
+    incremental.ingest_new(spark, [feed], target, ledger, options)
+    assert sorted(r.trip_id for r in read_bronze(spark, target).collect()) == [0, 1, 2, 9]
+    put_file(trips((7, datetime(2024, 2, 2), 1.0, 60)), raw / "a+ä 1.parquet")
+    spark.catalog.refreshByPath(str(raw))
+    incremental.ingest_new(spark, [feed], target, ledger, options)
+    rows = spark.read.schema(bronze.BRONZE_SCHEMA).parquet(target)
+    assert {(r.trip_id, r.pickup_month) for r in rows.collect()} == {(7, "2024-02"), (9, "2024-03")}
+    assert not (tmp_path / "table" / "pickup_month=2024-01").exists()
+
+
+def test_tolerant_ingest_reports_and_skips_junk_in_both_modes(spark, raw_dir, tmp_path):
+    (raw_dir / "trips-0.parquet").write_bytes(b"junk")
+    feed = directory_feed(spark, str(raw_dir))
+    for mode in (bronze.FULL_BATCH, FILE_LOOP):
+        metrics = ingest(spark, [feed], str(tmp_path / mode), replace(OPTIONS, mode=mode, tolerant=True)).collect()
+        assert (metrics[0].source, metrics[0].status) == ("trips-0.parquet", "skipped") and metrics[0].error
+        assert {m.status for m in metrics[1:]} == {"ok"}
+        assert read_bronze(spark, str(tmp_path / mode)).count() == sum(m.rows_out for m in metrics[1:]) > 0
+
+
+def test_files_of_different_types_and_more_columns(spark, trips, tmp_path):
+    base = trips(*[(i, datetime(2024, 1, 2), 1.0, 60) for i in range(3)])
+    put_file(base.drop("trip_id"), tmp_path / "1.parquet")
+    put_file(base.selectExpr("* except (trip_time)", "cast(trip_time as long) trip_time", "'x' as flag"), tmp_path / "2.parquet")
+    put_file(base.selectExpr("* except (trip_time)", "cast(trip_time as double) trip_time", "1 as flag"), tmp_path / "3.parquet")
+    found = directory_feeds(spark, str(tmp_path))
+    for mode in (bronze.FULL_BATCH, FILE_LOOP):
+        ingest(spark, found, str(tmp_path / mode), replace(OPTIONS, mode=mode, write=WriteOptions()))
+        rows = read_table(spark, str(tmp_path / mode), "pickup_month") if mode == bronze.FULL_BATCH else None
+        count = read_bronze(spark, str(tmp_path / mode)).count()
+        assert count == 9
+        if rows is not None:
+            assert sorted(str(r.flag) for r in rows.collect()) == ["1"] * 3 + ["None"] * 3 + ["x"] * 3
+            assert rows.filter("trip_id IS NULL").count() == 3

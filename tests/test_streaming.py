@@ -94,11 +94,18 @@ def test_copies_in_a_later_batch_are_dropped(spark, stream, raw_dir, trips, tmp_
     assert len(ids) == len(set(ids)) == 401 and 777 in ids
 
 
-def test_published_batches_equal_batch_and_can_be_replayed(spark, feed, stream, tmp_path):
-    target = str(tmp_path / "out")
+def test_a_replayed_batch_replaces_itself_and_another_stream_adds(spark, feed, stream, tmp_path):
+    target, first = str(tmp_path / "out"), tmp_path / "first"
     want = rows_of(bronze.transform(read_feed(spark, feed), ingested_at=AT).select(BRONZE_SCHEMA.fieldNames()))
-    for attempt in ("first", "replayed"):
-        # A new checkpoint numbers the same batches again, as a restart before the commit would.
-        jobs.publish_partitions(jobs.bronze(stream(), ingested_at=AT), target, str(tmp_path / attempt))
-        out = spark.read.schema(BRONZE_SCHEMA).parquet(target)
-        assert rows_of(out.select(BRONZE_SCHEMA.fieldNames())) == want
+
+    def published(checkpoint):
+        jobs.publish_partitions(jobs.bronze(stream(), ingested_at=AT), target, str(checkpoint))
+        return rows_of(spark.read.schema(BRONZE_SCHEMA).parquet(target).select(BRONZE_SCHEMA.fieldNames()))
+
+    assert published(first) == want
+    assert published(first) == want
+    last = max((first / "commits").glob("[0-9]*"), key=lambda file: int(file.name))
+    for name in (last, last.with_name(f".{last.name}.crc")):  # as if the driver was lost before the commit
+        name.unlink(missing_ok=True)
+    assert published(first) == want
+    assert published(tmp_path / "second") == sorted(want + want, key=str)

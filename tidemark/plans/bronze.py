@@ -16,15 +16,17 @@ from pyspark.sql import types as T
 from tidemark.functions.temporal import pickup_month
 from tidemark.operators.quality import TRIP_RULES, Rules, keep_valid
 from tidemark.operators.runs import STATUS_FAILED, STATUS_OK
-from tidemark.plans.sinks import WriteOptions, write_table
+from tidemark.plans.sinks import WriteOptions, replace_files, write_table
 from tidemark.schema import BRONZE_SCHEMA, TRIPS, TripColumns
-from tidemark.sources.feeds import Feed, read_feed, read_feeds
+from tidemark.sources.feeds import Feed, read_feeds
+from tidemark.sources.files import catalog, catalog_paths, file_report
 
 log = logging.getLogger(__name__)
 
 FULL_BATCH = "full_batch"
 FILE_LOOP = "file_loop"
 ALL_FILES = "ALL_FILES"
+STATUS_SKIPPED = "skipped"
 
 RUN_SCHEMA = (
     "run_id string, mode string, source string, status string, files long,"
@@ -39,7 +41,8 @@ class IngestOptions:
     ``count_rows`` also counts the rows read, within the same job. The filters then run above the
     scan instead of inside it, and with ``write.rebalance`` a scan task repeated after an executor
     loss may count twice (:func:`file_metrics` is the exact query). ``keep_going`` records a failed
-    source and continues with the next one. ``ingested_at`` fixes the ingestion timestamp so that a
+    source and continues with the next one. ``tolerant`` sorts out unreadable files before anything is
+    written and reports each as a source of its own with the status ``skipped``. ``ingested_at`` fixes the ingestion timestamp so that a
     run can be repeated. ``before_source`` is called before each source of a file loop is read.
     """
 
@@ -48,6 +51,7 @@ class IngestOptions:
     rules: Rules = field(default_factory=lambda: TRIP_RULES)
     count_rows: bool = False
     keep_going: bool = False
+    tolerant: bool = False
     ingested_at: datetime | None = None
     before_source: Callable[[Feed], None] | None = None
 
@@ -107,60 +111,76 @@ def ingest(
 ) -> DataFrame:
     """Publish the feeds as a bronze table and return one row of run metrics per source.
 
-    ``full_batch`` writes everything in one job. ``file_loop`` writes one file after another:
-    the first replaces the table, the rest append. Without input nothing is written.
+    ``full_batch`` writes everything in one job, ``file_loop`` one file after another. By default the
+    rows of the feeds' files are replaced and all other rows of the table stay, so runs over other
+    files add up and a repeated run changes nothing. With ``write.refresh="table"`` the feeds become
+    the whole table: the first write replaces it, the rest append. Without input nothing is written.
     """
     if options.mode not in (FULL_BATCH, FILE_LOOP):
         raise ValueError(f"unknown mode: {options.mode}")
     run_id = uuid.uuid4().hex
-    present = [feed for feed in feeds if feed.paths]
-    if not present:
+    present, records = readable(spark, feeds) if options.tolerant else (list(feeds), [])
+    published = False
+    for source, unit in sources(present, options.mode):
+        mode = "append" if published else "overwrite"
+        record = publish(spark, source, unit, target, options, mode)
+        published = published or record[1] == STATUS_OK
+        records.append(record)
+    if not records:
         log.info("run %s: no input files", run_id)
-        return spark.createDataFrame([], RUN_SCHEMA)
-    loop = _full_batch if options.mode == FULL_BATCH else _file_loop
-    records = loop(spark, present, target, options)
-    return spark.createDataFrame([(run_id, options.mode, *record) for record in records], RUN_SCHEMA)
+    return run_metrics(spark, run_id, options.mode, records)
 
 
-def _full_batch(
-    spark: SparkSession, feeds: Sequence[Feed], target: str, options: IngestOptions
-) -> list[tuple]:
-    files = sum(len(feed.paths) for feed in feeds)
-    return [_publish(lambda: read_feeds(spark, feeds), ALL_FILES, files, target, options, "overwrite")]
+def run_metrics(spark: SparkSession, run_id: str, mode: str, records: Sequence[tuple]) -> DataFrame:
+    return spark.createDataFrame([(run_id, mode, *record) for record in records], RUN_SCHEMA)
 
 
-def _file_loop(
-    spark: SparkSession, feeds: Sequence[Feed], target: str, options: IngestOptions
-) -> list[tuple]:
-    # Overwriting only the months of the first file and appending the others would repeat rows
-    # when the loop is run again, so the loop always rebuilds the table.
-    rebuild = replace(options, write=replace(options.write, refresh="table"))
-    records: list[tuple] = []
-    published = False
-    for source in [single for feed in feeds for single in feed.per_path()]:
-        def read(source: Feed = source) -> DataFrame:
-            if options.before_source:
-                options.before_source(source)
-            return read_feed(spark, source)
+def sources(feeds: Sequence[Feed], mode: str) -> list[tuple[str, list[Feed]]]:
+    """What is written in one job each: everything, or every file by itself."""
+    present = [feed for feed in feeds if feed.paths]
+    if mode == FULL_BATCH:
+        return [(ALL_FILES, present)] if present else []
+    return [(single.name, [single]) for feed in present for single in feed.per_path()]
 
-        mode = "append" if published else "overwrite"
-        record = _publish(read, source.name, 1, target, rebuild, mode)
-        published = published or record[1] == STATUS_OK
-        records.append(record)
-    return records
+
+def readable(spark: SparkSession, feeds: Sequence[Feed]) -> tuple[list[Feed], list[tuple]]:
+    """The feeds without their unreadable files, and a run record for each of those."""
+    good, skipped = [], []
+    for feed in feeds:
+        if not feed.paths:
+            continue
+        report = file_report(spark, catalog(spark, feed.paths), feed.schema)
+        good.append(feed.at(*catalog_paths(report.filter("status = 'ok'"))))
+        bad = report.filter("status = 'skipped'").orderBy("path").toLocalIterator()
+        skipped += [(row.path.rsplit("/", 1)[-1], STATUS_SKIPPED, 1, None, None, 0.0, row.error) for row in bad]
+    return good, skipped
 
 
-def _publish(
-    read: Callable[[], DataFrame], source: str, files: int, target: str, options: IngestOptions, mode: str
+def publish(
+    spark: SparkSession,
+    source: str,
+    feeds: Sequence[Feed],
+    target: str,
+    options: IngestOptions,
+    mode: str = "overwrite",
+    known_new: bool = False,
 ) -> tuple:
+    """Write the rows of some feeds and return the record of the run; see :func:`ingest`."""
     started = perf_counter()
+    files = sum(len(feed.paths) for feed in feeds)
     rows_in, rows_out = Observation(), Observation()
     try:
-        raw = read()
+        if options.before_source and options.mode == FILE_LOOP:
+            options.before_source(feeds[0])
+        raw = read_feeds(spark, feeds)
         if options.count_rows:
             raw = raw.observe(rows_in, F.count(F.lit(1)).alias("n"))
         bronze = transform(raw, options.rules, options.ingested_at)
-        write_table(bronze, target, options.write, mode, rows_out)
+        if options.write.refresh == "table":
+            write_table(bronze, target, options.write, mode, rows_out)
+        else:
+            paths = catalog(spark, [path for feed in feeds for path in feed.paths]).select("path")
+            replace_files(bronze, paths, target, options.write, rows_out, known_new)
     except Exception as failure:
         if not options.keep_going:
             raise

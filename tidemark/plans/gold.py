@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import pickup_month
 from tidemark.plans.bronze import month_slice
-from tidemark.plans.sinks import WriteOptions, write_table
+from tidemark.plans.sinks import WriteOptions, drop_partitions, write_table
 from tidemark.schema import TRIPS, TripColumns
 
 
@@ -51,11 +51,15 @@ def refresh_location_month(
     """Rebuild the monthly leaderboard, or only its partitions for ``months``.
 
     The month predicate prunes the partitions read; only the partitions written are replaced. The
-    ranking leaves each month in one task, so the write needs no further shuffle.
+    ranking leaves each month in one task, so the write needs no further shuffle. Months that have
+    become empty lose their partition.
     """
     rows = layer if months is None else month_slice(layer, months)
     options = WriteOptions(refresh="table" if months is None else "partitions")
     write_table(location_month(rows, n), target, options)
+    if months is not None:
+        filled = touched_months(rows)
+        drop_partitions(layer.sparkSession, target, "pickup_month", [m for m in months if m not in filled])
 
 
 def read_location_month(spark: SparkSession, path: str) -> DataFrame:

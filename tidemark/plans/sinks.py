@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions.lineage import plain_path
 from tidemark.scratch import materialise
 
 
@@ -56,7 +59,7 @@ def write_table(
     if written is not None:
         laid_out = laid_out.observe(written, F.count(F.lit(1)).alias("n"))
     dynamic = options.refresh == "partitions"
-    if mode == "overwrite" and not dynamic and _exists(df.sparkSession, path):
+    if mode == "overwrite" and not dynamic and table_exists(df.sparkSession, path):
         laid_out = materialise(laid_out, "successor")
     (
         laid_out.write.mode(mode)
@@ -68,7 +71,7 @@ def write_table(
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path)
     except AnalysisException:
@@ -76,6 +79,63 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def read_table(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
+    """A table with the columns of all its files, whatever run wrote them; the partition column is text."""
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    kinds = [T.StructField(f.name, T.StringType()) if f.name == partition_by else f for f in found.fields]
+    return spark.read.schema(T.StructType(kinds)).parquet(path)
+
+
+def replace_files(
+    rows: DataFrame,
+    files: DataFrame,
+    path: str,
+    options: WriteOptions = WriteOptions(),
+    written: Observation | None = None,
+    known_new: bool = False,
+) -> None:
+    """Make ``rows`` the only rows of the source ``files`` (column ``path``) in a table; other rows stay.
+
+    Rows carry the file's URI as ``source_file``. Files the table holds no rows of are appended, with
+    no shuffle. To find that out one column of the table is scanned, which ``known_new`` saves.
+    Otherwise the partitions holding rows of the files are written anew from the rows of other files
+    and the new ones. Every step may be repeated after a failure with the same result.
+    """
+    spark, by = rows.sparkSession, options.partition_by
+    if known_new or not table_exists(spark, path):
+        write_table(rows, path, options, "append", written)
+        return
+    old = read_table(spark, path, by)
+    own = plain_path(F.col("source_file")) == F.col("path")
+    held = [row[0] for row in old.join(files, own, "left_semi").select(by).distinct().toLocalIterator()]
+    if not held:
+        write_table(rows, path, options, "append", written)
+        return
+    fresh = materialise(rows if written is None else rows.observe(written, F.count(F.lit(1)).alias("n")), "fresh")
+    kept = old.filter(in_partitions(by, held)).join(files, own, "left_anti")
+    successor = materialise(
+        fresh.filter(in_partitions(by, held)).unionByName(kept, allowMissingColumns=True), "successor"
+    )
+    left = {row[0] for row in successor.select(by).distinct().toLocalIterator()}
+    write_table(successor, path, replace(options, refresh="partitions"))
+    drop_partitions(spark, path, by, [value for value in held if value not in left])
+    write_table(fresh.filter(~in_partitions(by, held)), path, options, "append")
+
+
+def in_partitions(column: str, values: Sequence[str | None]) -> Column:
+    """True for rows of these partitions, never NULL; ``None`` is the partition of NULLs."""
+    named = F.coalesce(F.col(column).isin([v for v in values if v is not None]), F.lit(False))
+    return named | F.col(column).isNull() if None in values else named
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str | None]) -> None:
+    """Delete whole partition folders; values must need no escaping in a path, as months do not."""
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_csv_by(df: DataFrame, path: str, key: str, mode: str = "overwrite") -> None:
     """Write CSV with a header, one folder per ``key`` value and few files in each."""
     df.hint("rebalance", key).write.mode(mode).option("header", True).partitionBy(key).csv(path)

@@ -100,15 +100,35 @@ def cast_or_null(name: str, actual: T.DataType, wanted: T.DataType) -> Column:
 def union_all(frames: Sequence[DataFrame], target: T.StructType) -> DataFrame:
     """UNION ALL by column name of frames whose schemas may differ.
 
-    Columns beyond the target are kept and NULL where a frame lacks them.
+    Columns beyond the target are kept and NULL where a frame lacks them. Where their types differ
+    they become bigint (integers only), double (numbers only) or text.
     """
-    conformed = [conform(df, target, keep_extra=True) for df in frames]
+    extras: dict[str, list[T.DataType]] = {}
+    for df in frames:
+        for field in df.schema.fields:
+            if field.name not in target.fieldNames():
+                extras.setdefault(field.name, []).append(field.dataType)
+    retyped = {name: _common_type(kinds) for name, kinds in extras.items() if len(set(kinds)) > 1}
+    conformed = [
+        conform(df, target, keep_extra=True).withColumns(
+            {name: F.col(name).cast(kind) for name, kind in retyped.items() if name in df.columns}
+        )
+        for df in frames
+    ]
     result = conformed[0]
     for df in conformed[1:]:
         result = result.unionByName(df, allowMissingColumns=True)
     return result
 
 
+def _common_type(kinds: Sequence[T.DataType]) -> T.DataType:
+    if all(isinstance(kind, T.IntegralType) for kind in kinds):
+        return T.LongType()
+    if all(isinstance(kind, T.NumericType) for kind in kinds):
+        return T.DoubleType()
+    return T.StringType()
+
+
 def schema_issues(df: DataFrame, target: T.StructType) -> DataFrame:
     """One row per missing, extra or differently typed column.
 

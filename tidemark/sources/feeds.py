@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,11 +108,49 @@ def directory_feed(
     schema: T.StructType = TRIP_SCHEMA,
     file_limit: int | None = None,
 ) -> Feed:
-    """All (or the first ``file_limit``) trip files of a directory, read with one declared schema."""
+    """All (or the first ``file_limit``) trip files of a directory, read with one declared schema.
+
+    Columns outside the schema are not read, and files must hold its types; for others use
+    :func:`directory_feeds`.
+    """
     paths = catalog_paths(catalog(spark, raw_dir, file_limit))
     return Feed(raw_dir, tuple(paths), schema, tuple((f.name, f"`{f.name}`") for f in schema.fields))
 
 
+def directory_feeds(
+    spark: SparkSession, raw: str | Sequence[str], file_limit: int | None = None
+) -> list[Feed]:
+    """All (or the first ``file_limit``) trip files of folders, with every column they have.
+
+    Files are grouped by the types they are written in, each group is read in its own types, and the
+    values are cast to the trip schema afterwards. Columns beyond that schema are passed through;
+    trip columns a file lacks are NULL. Footers are merged by Spark, halving a run of files (in
+    order of their names) wherever types disagree: as many jobs as there are changes of type, times
+    the logarithm of the number of files.
+    """
+    paths = catalog_paths(catalog(spark, raw, file_limit))
+    name = raw if isinstance(raw, str) else ",".join(raw)
+    grouped: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, members in _same_types(spark, paths):
+        grouped.setdefault(schema.json(), (schema, []))[1].extend(members)
+    return [
+        Feed(name, tuple(members), schema, tuple((field.name, f"`{field.name}`") for field in schema.fields))
+        for schema, members in grouped.values()
+    ]
+
+
+def _same_types(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    if not paths:
+        return []
+    try:
+        return [(spark.read.option("mergeSchema", True).parquet(*paths).schema, paths)]
+    except PySparkException as failure:
+        if len(paths) == 1 or failure.getCondition() != "CANNOT_MERGE_SCHEMAS":
+            raise
+    middle = len(paths) // 2
+    return _same_types(spark, paths[:middle]) + _same_types(spark, paths[middle:])
+
+
 def bind(df: DataFrame, binding: Sequence[tuple[str, str]]) -> DataFrame:
     """Rename and compute columns; types are left as they are."""
     return df.select(*[F.expr(expression).alias(name) for name, expression in binding])

@@ -1,7 +1,8 @@
 """Streaming ingestion, windowed demand, deduplication and partition publishing.
 
-The file source takes files in order of modification time. Everything available goes into one
-micro-batch unless ``files_per_trigger`` is set; within a batch no row is late. With several batches
+The file source takes files in order of modification time, ``files_per_trigger`` of them in one
+micro-batch, so that a failure repeats no more than that; ``None`` takes everything available at once.
+Within a batch no row is late. With several batches
 the watermark follows the order of the files, so they must arrive roughly in event-time order or the
 delay must cover the difference; rows behind the watermark are dropped and counted in the progress.
 """
@@ -20,9 +21,12 @@ from tidemark.plans.bronze import transform
 from tidemark.schema import TRIPS, TripColumns
 from tidemark.sources.feeds import Feed, with_binding
 
+FILES_PER_TRIGGER = 1_000
+QUERY_ID = "sql.streaming.queryId"  # fixed value: the local property in which Spark names the running query
+
 
 def read_stream(
-    spark: SparkSession, feed: Feed, files_per_trigger: int | None = None, lineage: bool = True
+    spark: SparkSession, feed: Feed, files_per_trigger: int | None = FILES_PER_TRIGGER, lineage: bool = True
 ) -> DataFrame:
     """The feed's folder (one path, may be a glob) as a stream of trips."""
     (path,) = feed.paths
@@ -38,7 +42,11 @@ def bronze(df: DataFrame, rules: Rules = TRIP_RULES, ingested_at: datetime | Non
 
 
 def hourly_demand(df: DataFrame, delay: str, c: TripColumns = TRIPS) -> DataFrame:
-    """Trips per hour window, sent once when the watermark has passed the window's end."""
+    """Trips per hour window, sent once when the watermark has passed the window's end.
+
+    A run that ends with the input leaves the windows younger than the newest row less ``delay``
+    open; they are sent by a later run. A finished backfill takes its last hours from the batch table.
+    """
     return (
         df.withColumn("event_time", event_time(c.pickup))
         .withWatermark("event_time", delay)
@@ -90,18 +98,23 @@ def run_to_files(
 def publish_partitions(
     df: DataFrame, target: str, checkpoint: str, partition_by: str = "pickup_month"
 ) -> StreamingQuery:
-    """Publish each micro-batch into partitions of its own: (``partition_by``, ``batch_id``).
+    """Publish each micro-batch into partitions of its own: (``partition_by``, ``stream_id``, ``batch_id``).
 
-    A batch that is repeated after a failure replaces exactly the partitions it wrote before.
+    ``stream_id`` is the query's identity, which Spark keeps in the checkpoint. A batch repeated after
+    a failure replaces exactly the partitions it wrote before; a run with another checkpoint adds its
+    rows and replaces none.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        if not stream_id:
+            raise RuntimeError("the batch does not say which streaming query it belongs to")
+        rows = batch.withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("long")})
         (
             rows.hint("rebalance", partition_by)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_by, "batch_id")
+            .partitionBy(partition_by, "stream_id", "batch_id")
             .parquet(target)
         )
 
