@@ -562,7 +562,7 @@ def stream_upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_dir(spark, "stream")
     rows = jobs.bronze(_event_stream(spark, sf_dir), ingested_at=INGESTED_AT)
     jobs.publish_partitions(rows, target, new_dir(spark, "progress"))
-    return _shown(spark.read.schema(BRONZE_SCHEMA).parquet(target).drop("batch_id"))
+    return _shown(spark.read.schema(BRONZE_SCHEMA).parquet(target).drop("stream_id", "batch_id"))
 
 
 # --- contract --------------------------------------------------------------------------------

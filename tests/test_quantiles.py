@@ -5,7 +5,9 @@ import pandas as pd
 import pytest
 
 from tidemark.operators import quantiles
-from tidemark.operators.quantiles import ACCURACY, group_percentile
+from tidemark.operators.quantiles import group_percentile
+
+ACCURACY = quantiles.ACCURACY
 
 
 def expected(df: pd.DataFrame, p: float) -> dict:
@@ -43,18 +45,25 @@ def test_null_values_are_ignored_and_a_null_group_is_a_group(spark):
     assert {r.k: r.v for r in group_percentile(df, "k", "x", 0.5, "v").collect()} == {"a": 2.0, None: 5.0}
 
 
-def test_a_bracket_that_misses_the_rank_fails(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "MARGIN", -0.1)
-    df = spark.range(3 * ACCURACY).selectExpr("'a' as k", "cast(id as double) as x")
-    with pytest.raises(Exception, match="missed the requested rank"):
-        group_percentile(df, "k", "x", 0.5).collect()
+def test_many_rounds_give_the_exact_percentile(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "VALUES", 20)
+    frame = groups(np.random.default_rng(8))
+    got = group_percentile(spark.createDataFrame(frame).repartition(6), "k", "x", 0.8, "v")
+    assert {r.k: pytest.approx(r.v, rel=1e-12, abs=1e-12) for r in got.collect()} == expected(frame, 0.8)
+
+
+def test_a_bracket_that_misses_the_rank_is_widened(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "VALUES", 500)
+    monkeypatch.setattr(quantiles, "ACCURACY", 3)  # a sketch far too coarse for its steps
+    df = spark.range(30_000).selectExpr("'a' as k", "cast(id as double) as x")
+    assert group_percentile(df, "k", "x", 0.5, "v").first().v == 14_999.5
 
 
-def test_only_the_bracket_is_ranked(spark):
-    """The rows that reach the window are a small share of a large group."""
-    df = spark.range(50 * ACCURACY).selectExpr("'a' as k", "cast(id as double) as x")
+def test_no_more_than_the_bracket_is_ranked(spark):
+    """The values that reach the last step are a small share of a large group."""
+    df = spark.range(500_000).selectExpr("'a' as k", "cast(id as double) as x")
     result = group_percentile(df, "k", "x", 0.8, "v")
-    assert result.first().v == pytest.approx(0.8 * (50 * ACCURACY - 1))
-    low, high = 0.8 - 2 * quantiles.MARGIN, 0.8 + 2 * quantiles.MARGIN
-    inside = df.filter(f"x between {low * 50 * ACCURACY} and {high * 50 * ACCURACY}").count()
-    assert inside < 0.005 * df.count()
+    assert result.first().v == pytest.approx(0.8 * 499_999)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    ranked = plan[: plan.index("Window")]
+    assert "HashAggregate" in plan[plan.index("Window") :] and "Scan" not in ranked

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,8 +145,8 @@ def _same_types(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructTyp
         return []
     try:
         return [(spark.read.option("mergeSchema", True).parquet(*paths).schema, paths)]
-    except PySparkException as failure:
-        if len(paths) == 1 or failure.getCondition() != "CANNOT_MERGE_SCHEMAS":
+    except (PySparkException, Py4JJavaError) as failure:
+        if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(failure):
             raise
     middle = len(paths) // 2
     return _same_types(spark, paths[:middle]) + _same_types(spark, paths[middle:])
