@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,18 +61,26 @@ def _offsets() -> np.ndarray:
 OFFSET = _offsets()
 
 
-def _dense(*keys: np.ndarray) -> np.ndarray:
-    """Ranks from 1 of rows by the keys, first key first; equal rows, equal rank."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    new = np.zeros(len(order), bool)
-    for key in keys:
-        s = key[order]
-        new[1:] |= s[1:] != s[:-1]
+def _dense(key: np.ndarray) -> np.ndarray:
+    """Ranks from 1; equal values, equal rank. Ties need no order, so numpy's fastest sort will do."""
+    order = np.argsort(key)
+    ranked = key[order]
     rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(new) + 1
+    rank[order] = np.cumsum(np.append(False, ranked[1:] != ranked[:-1])[: len(order)]) + 1
     return rank
 
 
+def _paired(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Keys in the order of (first, second): dense ranks of both in one number."""
+    return _dense(first) * np.int64(len(first) + 2) + _dense(second)
+
+
+def _period_rank(words: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """Ranks of the PERIOD bytes from each spot, by doubling; ``words`` has the 8 bytes from each place."""
+    pairs = [_paired(words[spots + i], words[spots + i + 8]) for i in range(0, PERIOD, 16)]
+    return _dense(_paired(*pairs))
+
+
 class CoverSample:
     """Ranks, to a depth of 4 periods, of the suffixes of a block that start at sampled positions."""
 
@@ -80,7 +89,7 @@ class CoverSample:
         inside[list(COVER)] = True
         spots = np.flatnonzero(np.resize(inside, n))
         self.rank = np.zeros(n + 5 * PERIOD, np.int64)
-        self.rank[spots] = _dense(*(words[spots + 8 * i] for i in range(PERIOD // 8)))
+        self.rank[spots] = _period_rank(words, spots)
         for depth in (PERIOD, 2 * PERIOD):
             high = np.int64(len(spots) + 2)
             self.rank[spots] = _dense(self.rank[spots] * high + self.rank[spots + depth])
@@ -108,7 +117,7 @@ def _resolve(items: np.ndarray, group: np.ndarray, sample: CoverSample) -> np.nd
         own = items[active]
         pivot = np.repeat(own[at[:-1] + counts // 2], counts)
         side = sample.compare(own, pivot)
-        order = np.lexsort((side, g))
+        order = np.argsort(3 * g + side)
         items[active] = own[order]
         side, g = side[order], g[order]
         # new groups are named by their first place; those equal to the pivot are done
@@ -128,7 +137,9 @@ def first_of_equal(text: np.ndarray, starts: np.ndarray, length: int = LENGTH) -
         wide[: len(wide) - step] = wide[: len(wide) - step] << U64(8 * step) | wide[step:]
     sample = CoverSample(wide, n)
     first = np.zeros(len(starts), bool)
-    lead = (wide[starts] >> U64(48)).astype(np.int64)
+    row_at = np.zeros(n, np.int64)  # starts are distinct within a block
+    row_at[starts] = np.arange(len(starts))
+    lead = (wide[starts] >> U64(48)).astype(np.uint16)
     by_lead = np.argsort(lead, kind="stable")
     ends = np.cumsum(np.bincount(lead, minlength=1 << 16))
     begin = 0
@@ -138,16 +149,12 @@ def first_of_equal(text: np.ndarray, starts: np.ndarray, length: int = LENGTH) -
         stop = max(stop, int(more))
         bucket = by_lead[begin:stop]
         spots = starts[bucket]
-        keys = [wide[spots + 8 * i] for i in range(PERIOD // 8)]
-        order = np.lexsort(keys[::-1])
-        tied = np.ones(max(len(order) - 1, 0), bool)
-        for key in keys:
-            s = key[order]
-            tied &= s[1:] == s[:-1]
+        rank = _period_rank(wide, spots)
+        order = np.argsort(rank)
+        tied = rank[order][1:] == rank[order][:-1]
         group = np.maximum.accumulate(np.where(np.append(False, tied), 0, np.arange(len(order))))
         sorted_spots = _resolve(spots[order].copy(), group, sample)
-        # the rows behind the sorted starts: starts are distinct within a block
-        rows = bucket[np.argsort(spots, kind="stable")][np.searchsorted(np.sort(spots), sorted_spots)]
+        rows = row_at[sorted_spots]
         same = np.flatnonzero(tied)
         for offset in [*range(PERIOD, length - 8, 8), length - 8]:
             same = same[wide[sorted_spots[same] + offset] == wide[sorted_spots[same + 1] + offset]]
@@ -185,7 +192,7 @@ def _unique_anchors(batches: Iterator[pa.RecordBatch], buckets: int, length: int
 
     def flush() -> pa.RecordBatch:
         anchor, chunk = (np.concatenate(x) for x in zip(*kept))
-        order = np.lexsort((chunk, anchor))
+        order = np.argsort(_paired(anchor, chunk))
         anchor, chunk = anchor[order], chunk[order]
         new = np.append(True, (anchor[1:] != anchor[:-1]) | (chunk[1:] != chunk[:-1]))
         counts = np.diff(np.append(np.flatnonzero(new), len(new)))
@@ -210,10 +217,11 @@ def _unique_anchors(batches: Iterator[pa.RecordBatch], buckets: int, length: int
         if not len(spots):
             continue
         values = anchor[spots]
-        doc = np.searchsorted(offsets, spots, side="right") - 1
-        new = np.append(True, (values[1:] != values[:-1]) | (doc[1:] != doc[:-1]))
+        # the strings of two documents are never neighbours
+        new = np.append(True, (values[1:] != values[:-1]) | (np.diff(spots) != 1))
+        doc = np.searchsorted(offsets, spots[new], side="right") - 1
         chunk = batch.column("chunk").to_numpy().astype(np.int32)
-        kept.append((_value(values[new]), chunk[doc[new]]))
+        kept.append((_value(values[new]), chunk[doc]))
         held += int(new.sum())
         if held >= FLUSH:
             yield flush()
@@ -275,8 +283,8 @@ class _Range:
             flat, offsets = flat_text(part.column("text"))
             anchor, begins = _anchors(flat, offsets, ANCHOR, self.length)
             anchor = _value(anchor)
-            cold = begins & _member(self.cold, anchor)
-            hot = begins & _member(self.hot, anchor)
+            at = runs(anchor)  # neighbours mostly share their anchor
+            cold, hot = (begins & np.repeat(_member(v, anchor[at[:-1]]), np.diff(at)) for v in (self.cold, self.hot))
             yield ordinal, flat, offsets, anchor, cold, hot
             ordinal += part.num_rows
 
@@ -288,22 +296,22 @@ def _pieces(docs: pd.DataFrame, side: pd.DataFrame, length: int) -> pd.DataFrame
         long_anchor = None
         if hot.any():
             long_anchor, _ = _anchors(flat, offsets, LONG_ANCHOR, length)
-            long_anchor = mix(_value(long_anchor) + U64(1))
-        for mask, values in ((cold, anchor), (hot, long_anchor)):
+            long_anchor = _value(long_anchor)
+        for mask, values, seed in ((cold, anchor, 0), (hot, long_anchor, 1)):
             spots = np.flatnonzero(mask)
             if not len(spots):
                 continue
             v = values[spots]
-            doc = np.searchsorted(offsets, spots, side="right") - 1
-            new = np.append(True, (v[1:] != v[:-1]) | (np.diff(spots) != 1) | (doc[1:] != doc[:-1]))
+            new = np.append(True, (v[1:] != v[:-1]) | (np.diff(spots) != 1))
             begin = np.flatnonzero(new)
+            doc = np.searchsorted(offsets, spots[begin], side="right") - 1
             count = np.diff(np.append(begin, len(spots)))
             starts, ends = spots[begin], spots[begin] + count + length - 1
             out.append(
                 (
-                    v[begin],
-                    part.base + ordinal + doc[begin],
-                    starts - offsets[doc[begin]],
+                    mix(v[begin] + U64(1)) if seed else v[begin],
+                    part.base + ordinal + doc,
+                    starts - offsets[doc],
                     span_hashes(flat, starts, ends),
                     [flat[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())],
                 )
@@ -314,8 +322,9 @@ def _pieces(docs: pd.DataFrame, side: pd.DataFrame, length: int) -> pd.DataFrame
     key, ident, pos, h = (np.concatenate([o[i] for o in out]) for i in range(4))
     piece = [x for o in out for x in o[4]]
     order = np.lexsort((pos, ident))
-    _, keep = np.unique(np.stack([key[order], h[order]], axis=1), axis=0, return_index=True)
-    keep = order[np.sort(keep)]
+    same = _paired(key[order], h[order])
+    by = np.argsort(same)
+    keep = order[np.sort(np.minimum.reduceat(by, runs(same[by])[:-1]))]
     return pd.DataFrame({"key": key[keep].view(np.int64), "ident": ident[keep], "pos": pos[keep], "piece": [piece[i] for i in keep]})
 
 
@@ -366,7 +375,7 @@ def _bounded(table: pa.Table) -> Iterator[pa.Table]:
     """Cut a table sorted by key between keys, at about BLOCK bytes."""
     keys = table.column("key").to_numpy()
     at = runs(keys)
-    sizes = np.cumsum(np.array([len(x) for x in table.column("piece").to_pylist()], np.int64)) if len(keys) else keys
+    sizes = np.cumsum(pc.binary_length(table.column("piece")).to_numpy().astype(np.int64)) if len(keys) else keys
     start = 0
     for stop in at[1:]:
         if stop > start and (stop == len(keys) or sizes[stop - 1] - (sizes[start - 1] if start else 0) >= BLOCK):
@@ -414,8 +423,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             repeat[where] = False
             edge = np.zeros(len(flat) + 1, np.int64)
             hits = np.flatnonzero(repeat)
-            np.add.at(edge, hits, 1)
-            np.add.at(edge, hits + length, -1)
+            edge[hits] += 1  # places are distinct
+            edge[hits + length] -= 1
             gone = np.cumsum(edge[:-1]) > 0
             begin = gone.copy()
             begin[1:] &= ~gone[:-1]
