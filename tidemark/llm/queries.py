@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, jaccard_join, line_dedup, mtree, packing, ppm, quality, substring_dedup, token_counts
+from tidemark.llm import bpe, fingerprints, jaccard_join, line_dedup, mtree, packing, ppm_text, quality, substring_dedup, token_counts
 from tidemark.llm.shipping import ship
 from tidemark.scratch import materialise
 
@@ -85,7 +85,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_of_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
-    return ppm.score(table(spark, sf_dir, "documents"), F.crc32(text_of_id) % 7 == 2)
+    return ppm_text.score(table(spark, sf_dir, "documents"), F.crc32(text_of_id) % 7 == 2)
 
 
 @_query
