@@ -102,6 +102,13 @@ def test_order_of_words_counts(spark, tmp_path):
     assert fluent.score > mixed_up.score / 2  # costs are negative: less than half
 
 
+def test_unseen_words_are_spelled_by_longer_contexts(spark, tmp_path):
+    """Both words are new from their first bytes on, and every trigram of theirs was met equally often."""
+    spelled, garbled = scored_apart(spark, tmp_path, " ".join(["rklms zyxwvuzyx tklmp zyxwvuzyx"] * 9), ["vwrklms zyxwvuzyx", "vwrklmp zyxwvuzyx"])
+    assert spelled.n_known == garbled.n_known == 2
+    assert spelled.score > garbled.score + 1
+
+
 def test_packed_numbers_come_back():
     import numpy as np
 
