@@ -109,6 +109,13 @@ def test_unseen_words_are_spelled_by_longer_contexts(spark, tmp_path):
     assert spelled.score > garbled.score + 1
 
 
+def test_long_words_count_to_their_end(spark, tmp_path):
+    """After 30 bytes, where every trigram of both words was met equally often."""
+    start = "http://0123456789abcdefghij.uv/"
+    known, garbled = scored_apart(spark, tmp_path, f"{start}rklms zyxwvuzyx {start}tklmp zyxwvuzyx", [f"{start}rklms zyxwvuzyx", f"{start}rklmp zyxwvuzyx"])
+    assert known.score > garbled.score + 1
+
+
 def test_packed_numbers_come_back():
     import numpy as np
 
