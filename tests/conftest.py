@@ -6,6 +6,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from helpers import put_file
 from session import local_session
 
 from tidemark.schema import TRIP_SCHEMA
@@ -47,18 +48,3 @@ def raw_dir(trips, tmp_path) -> Path:
         put_file(trips(*rows), folder / f"trips-{week}.parquet")
         time.sleep(0.02)
     return folder
-
-
-def put_file(df, path: Path) -> None:
-    """Write one Parquet file under an exact name."""
-    df.toPandas().to_parquet(path, coerce_timestamps="us", schema=_arrow(df))
-
-
-def _arrow(df):
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(df.schema)
-
-
-def rows_of(df) -> list[tuple]:
-    return sorted((tuple(r) for r in df.collect()), key=str)

@@ -4,7 +4,7 @@ from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
-from conftest import put_file, rows_of
+from helpers import put_file, rows_of
 
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from conftest import rows_of
+from helpers import rows_of
 
 from pyspark.sql import functions as F
 

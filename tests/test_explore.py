@@ -4,7 +4,7 @@ import math
 from datetime import datetime
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import os
 
-from conftest import rows_of
+from helpers import rows_of
 
 from tidemark.functions.lineage import file_name, scanned_file
 from tidemark.schema import TRIP_SCHEMA

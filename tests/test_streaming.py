@@ -4,7 +4,7 @@ import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import put_file, rows_of
+from helpers import put_file, rows_of
 
 from pyspark.sql import functions as F
 
