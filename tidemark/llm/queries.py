@@ -8,7 +8,21 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, jaccard_join, line_dedup, mtree, packing, ppm_text, quality, substring_dedup, token_counts
+from tidemark.llm import (
+    bpe,
+    conversation_repair,
+    fingerprints,
+    html_text,
+    jaccard_join,
+    line_dedup,
+    mtree,
+    packing,
+    ppm_text,
+    quality,
+    substring_dedup,
+    token_alignment,
+    token_counts,
+)
 from tidemark.llm.shipping import ship
 from tidemark.scratch import materialise
 
@@ -117,6 +131,38 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The turns with the faults that the contract sets by a checksum of conversation and turn; nulls are one space."""
+    word = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    dealt = F.crc32(F.concat_ws(":", word("conv_id"), word("turn")).cast("binary")) % 20
+    text, role = word("text"), word("role")
+    return (
+        conversations.select("conv_id", "turn", dealt.alias("fault"), role.alias("role"), text.alias("text"))
+        .filter("fault <> 0")
+        .withColumn("text", F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")))
+        .withColumn("role", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")))
+        .withColumn("copy", F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .select("conv_id", "turn", "role", "text")
+    )
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.plan_repair(damaged(conversations), conversations).digests()
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 _STRIP = "E' \\t\\n\\x0b\\x0c\\r'"
 
 ORACLES = {
