@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.textkit import U64, mix, ragged, slices
 from tidemark.scratch import materialise
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 REMEMBERED = 300_000  # windows; more are forgotten, and worked out again when met
 WIDE_GROUP = 1024  # links of a group from which pairs are counted by numpy
 
