@@ -9,8 +9,9 @@ deleted. Of repairs of equal cost the one with the least string of initials (D,
 Rows are sorted by ranges over the cluster and cut into blocks of at most BLOCK_ROWS rows of one
 conversation, so a conversation with a third of all rows is many blocks. For each state before a block
 the search keeps one survivor per state after it. Survivors hang in a tree of backpointers with
-reference counts; branches without survivors are freed, and letters are emitted as soon as all survivors
-descend from one node, so memory follows the unresolved part only. Ties compare the complete
+reference counts; survivors that another one beats whatever follows are dropped, branches without
+survivors are freed, and letters are emitted as soon as all survivors descend from one node, so memory
+follows the unresolved part only. Ties compare the complete
 unresolved strings. Inserts belong to the row after them, so no string of a block begins another one's:
 a comparison never needs the next block. Per conversation one task then folds the blocks' costs and
 orders (one short record for 4,096 rows) and chooses each block's way. Last, plan and texts meet in one
@@ -43,6 +44,14 @@ START, SYSTEM, USER, ASSISTANT = range(4)
 SPOKEN_NEXT = {START: USER, SYSTEM: USER, USER: ASSISTANT, ASSISTANT: USER}
 ENDING = {START: "", SYSTEM: "II", USER: "I", ASSISTANT: ""}
 LEGAL_PAIRS = ("su", "ua", "au")
+# What it costs at most to do from the first state what can be done from the second: a system row deleted
+# instead of kept, turns inserted.
+IMITATION = (
+    (0, 0, INSERT, 0),
+    (2 * INSERT, 0, INSERT, 2 * INSERT),
+    (INSERT + DELETE, INSERT, 0, INSERT),
+    (DELETE, 0, INSERT, 0),
+)
 
 OTHER_ROLE = 3  # initials as numbers: 0 system, 1 user, 2 assistant
 SOUND, DOOMED, CUT = 0, 4, 8  # added to the initial: what is wrong with the row
@@ -107,10 +116,12 @@ class Search:
             for letters, after, more in STEPS[code][state]:
                 offers.setdefault(after, []).append((cost + more, node, letters))
         before = [node for _, node in self.live.values()]
+        lowest_of = {state: min(way[0] for way in ways) for state, ways in offers.items()}
         live = {}
-        for state, ways in offers.items():
-            lowest = min(way[0] for way in ways)
-            tied = [way for way in ways if way[0] == lowest]
+        for state, lowest in lowest_of.items():
+            if any(lowest > cost + IMITATION[other][state] for other, cost in lowest_of.items()):
+                continue  # whatever follows, the other state's survivor ends cheaper
+            tied = [way for way in offers[state] if way[0] == lowest]
             if len(tied) > 1:
                 tied.sort(key=lambda way: _unresolved(way[1]) + way[2])
             live[state] = (lowest, _Node(tied[0][1], tied[0][2]))

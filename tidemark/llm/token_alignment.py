@@ -170,7 +170,7 @@ class Windows:
 
         # the linked pairs of all groups: each token of A with every one of B
         links = many_a * many_b
-        rows = [np.stack([window[g], x << 32 | y, t]) for g in np.flatnonzero(links >= WIDE_GROUP).tolist() for x, y, t in self._wide(a[first_a[g] :][: many_a[g]], b[first_b[g] :][: many_b[g]])]
+        rows = [np.stack([np.full(len(y), window[g]), x << 32 | y, t]) for g in np.flatnonzero(links >= WIDE_GROUP).tolist() for x, y, t in self._wide(a[first_a[g] :][: many_a[g]], b[first_b[g] :][: many_b[g]])]
         narrow = links[group_a] < WIDE_GROUP
         times = many_b[group_a[narrow]]
         left = np.repeat(a[narrow], times)
