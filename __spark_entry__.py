@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import wraps
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -18,8 +18,11 @@ from tidemark.functions.lineage import feed_name, file_name
 from tidemark.operators import dedup, explore, quality, runs
 from tidemark.plans import bronze, gold, layers, silver
 from tidemark.plans.bronze import FILE_LOOP, IngestOptions
+from tidemark.plans.gold_deltas import GoldTables, file_changes, signed
 from tidemark.plans.incremental import ingest_new
+from tidemark.plans.silver_upsert import silver_table, upsert
 from tidemark.plans.sinks import WriteOptions, write_csv_by, write_table
+from tidemark.plans.snapshots import SnapshotTable
 from tidemark.schema import BRONZE_SCHEMA, TRIP_SCHEMA, schema_issues, union_all
 from tidemark.scratch import new_dir
 from tidemark.sources import feeds, files
@@ -40,6 +43,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SMOKE_DIR = "/root/testdata/sf0.001"
 FEEDS = ("events", "orders", "lineitem")
 FILE_CAP = 500
+TEST_BUCKETS = 2  # a month of the test tables fits one file
 INGESTED_AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
 MONTHLY = WriteOptions(refresh="table", rebalance=True)
 QUALITY_RULES = {**quality.TRIP_RULES, "trip_miles_plausible": "trip_miles <= 100"}
@@ -467,6 +471,84 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.read_location_month(spark, target)
 
 
+@_query
+def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events, then orders and lineitem added, then one month of orders replaced; every snapshot stays readable."""
+    table = SnapshotTable(spark, new_dir(spark, "snapshots"), ("pickup_month",))
+    layers_of = {t: bronze.transform(_trips(spark, sf_dir, t), ingested_at=INGESTED_AT) for t in FEEDS}
+    first = table.commit(layers_of["events"])
+    table.commit(layers_of["orders"].unionByName(layers_of["lineitem"]), "append")
+    orders = layers_of["orders"].filter("pickup_month = '1997-01'")
+    last = table.commit(orders.withColumn("trip_miles", F.col("trip_miles") * 2))
+    table.stage(layers_of["events"])  # a writer lost before its commit: no reader sees this
+    rows = {"first": table.read(first), "last": table.read(), "month": table.read(last, ["pickup_month=1997-01"])}
+    totals = [
+        found.groupBy(F.lit(name).alias("snapshot"), "pickup_month").agg(
+            F.count(F.lit(1)).alias("trips"), F.round(F.sum("trip_miles"), 2).alias("miles")
+        )
+        for name, found in rows.items()
+    ]
+    return totals[0].unionByName(totals[1]).unionByName(totals[2])
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Lineitem in two overlapping deliveries, the later one with other miles; then the first one once more."""
+    trips = _trips(spark, sf_dir, "lineitem")
+    first = bronze.transform(trips.filter("trip_id % 3 <> 0"), ingested_at=INGESTED_AT)
+    revised = trips.filter("trip_id % 2 = 0").withColumn("trip_miles", F.col("trip_miles") + 1000)
+    return [first, bronze.transform(revised, ingested_at=INGESTED_AT + timedelta(days=1)), first]
+
+
+@_query
+def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of two overlapping deliveries: the newest copy of each trip."""
+    table = silver_table(spark, new_dir(spark, "silver"))
+    for delivery in _deliveries(spark, sf_dir):
+        upsert(table, delivery, buckets=TEST_BUCKETS)
+    rows = table.read().drop("key_bucket")
+    return rows.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz"))
+
+
+def _gold_rows(tables: GoldTables) -> DataFrame:
+    """The three gold tables, one below the other."""
+    daily, hours, months = tables.daily_company(), tables.hour_weekday(), tables.location_month()
+    text = lambda name: F.col(name).cast("string")
+    none = F.lit(None).cast("double")
+    shown = [
+        daily.select(F.lit("daily_company"), text("pickup_date"), text("hvfhs_license_num"), "trips", F.round("total_miles", 4)),
+        hours.select(F.lit("hour_weekday"), text("pickup_hour"), text("pickup_dayofweek"), "trips", none),
+        months.select(F.lit("location_month"), text("pickup_month"), F.concat("rank", F.lit("-"), "PULocationID"), "trips", none),
+    ]
+    names = ["gold_table", "first_key", "second_key", "trips", "miles"]
+    return shown[0].toDF(*names).union(shown[1].toDF(*names)).union(shown[2].toDF(*names))
+
+
+@_query
+def gold_delta_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold by signed deltas: events and orders come, lineitem is added, orders change, events are removed."""
+    layer = {t: bronze.transform(feeds.read_trips(spark, sf_dir, t, lineage=True), ingested_at=INGESTED_AT) for t in FEEDS}
+    tables = GoldTables(spark, new_dir(spark, "gold"))
+    held = layer["events"].unionByName(layer["orders"])
+    tables.apply("1-come", signed(held, 1))
+    tables.apply("2-added", signed(layer["lineitem"], 1))
+    tables.apply("2-added", signed(layer["lineitem"], 1))  # repeated by mistake: counts once
+    changed = files.seen_files(feeds.raw_table(spark, sf_dir, "orders")).select("path")
+    tables.apply("3-changed", file_changes(tables, held, changed, layer["orders"].filter("trip_id % 2 = 0")))
+    removed = files.seen_files(feeds.raw_table(spark, sf_dir, "events")).select("path")
+    tables.apply("4-removed", file_changes(tables, held, removed, layer["events"].limit(0)))
+    return _gold_rows(tables)
+
+
+@_query
+def layers_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All layers after two incremental runs and one that finds nothing new: gold of silver of bronze."""
+    root, everything = new_dir(spark, "layers"), _all_feeds(sf_dir)
+    options = _options(write=WriteOptions(rebalance=True))
+    for arrived in (everything[:1], everything, everything):
+        refreshed = layers.refresh_layers(spark, arrived, root, options, buckets=TEST_BUCKETS)
+    return _gold_rows(refreshed.gold)
+
+
 # --- runs ------------------------------------------------------------------------------------
 
 

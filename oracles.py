@@ -54,6 +54,8 @@ cast(dayofweek(pickup_datetime) + 1 as integer) as pickup_dayofweek,
 cast(month(pickup_datetime) as integer) as pickup_month_num,
 cast(pickup_datetime as date) as pickup_date"""
 
+CALENDAR_ONLY = CALENDAR.rsplit(",", 1)[0]  # the bronze layer has the date already
+
 SPEED = "trip_miles / nullif(cast(trip_time as double) / 3600, 0)"
 
 # --- quality ---------------------------------------------------------------------------------
@@ -131,6 +133,20 @@ def _leaderboard(trips: str) -> str:
     where rank <= 3"""
 
 
+def _gold(trips: str) -> str:
+    """The three gold tables, one below the other."""
+    return f"""
+    select 'daily_company' as gold_table, cast(cast(pickup_datetime as date) as varchar) as first_key,
+           hvfhs_license_num as second_key, cast(count(*) as bigint) as trips, round(sum(trip_miles), 4) as miles
+    from ({trips}) group by all
+    union all
+    select 'hour_weekday', cast(hour(pickup_datetime) as varchar), cast(dayofweek(pickup_datetime) + 1 as varchar),
+           cast(count(*) as bigint), null
+    from ({trips}) group by all
+    union all
+    select 'location_month', pickup_month, rank || '-' || "PULocationID", trips, null from ({_leaderboard(trips)})"""
+
+
 def _volume(trips: str, key: str, alias: str = "trips") -> str:
     return f"""select "{key}", cast(count(*) as bigint) as {alias} from ({trips})
                group by 1 order by {alias} desc, "{key}" """
@@ -260,6 +276,39 @@ ORACLES: dict[str, str] = {
         from ({EVENTS}) where {VALID} group by 1, 2""",
     "gold_location_month": _leaderboard(LINEITEM),
     "gold_refresh": _leaderboard(f"select * from ({ALL_TRIPS}) where {VALID}"),
+    "snapshot_publish": f"""
+        with layer as ({_bronze(ALL_RAW)}),
+        last as (
+          select pickup_month,
+                 case when source_file = 'orders.parquet' and pickup_month = '1997-01' then trip_miles * 2 else trip_miles end as miles
+          from layer where pickup_month <> '1997-01' or source_file = 'orders.parquet')
+        select 'first' as snapshot, pickup_month, cast(count(*) as bigint) as trips, round(sum(trip_miles), 2) as miles
+        from layer where source_file = 'events.parquet' group by all
+        union all
+        select 'last', pickup_month, cast(count(*) as bigint), round(sum(miles), 2) from last group by all
+        union all
+        select 'month', pickup_month, cast(count(*) as bigint), round(sum(miles), 2)
+        from last where pickup_month = '1997-01' group by all""",
+    "silver_upsert": f"""
+        with first as ({_bronze(LINEITEM)}),
+        delivered as (
+          select * from first where trip_id % 3 <> 0
+          union all
+          select * replace (trip_miles + 1000 as trip_miles, ingestion_timestamp + interval 1 day as ingestion_timestamp)
+          from first where trip_id % 2 = 0)
+        select * replace (upper(trim(hvfhs_license_num)) as hvfhs_license_num), {CALENDAR_ONLY}, {SPEED} as speed_mph
+        from delivered
+        qualify row_number() over (
+          partition by hvfhs_license_num, trip_id, pickup_datetime
+          order by ingestion_timestamp desc, trip_miles, trip_time, "PULocationID", base_passenger_fare) = 1""",
+    "gold_delta_refresh": _gold(f"""
+        select * from ({ORDERS}) where {VALID} and trip_id % 2 = 0
+        union all select * from ({LINEITEM}) where {VALID}"""),
+    "layers_refresh": _gold(f"""
+        select * replace (upper(trim(hvfhs_license_num)) as hvfhs_license_num) from ({ALL_TRIPS}) where {VALID}
+        qualify row_number() over (
+          partition by upper(trim(hvfhs_license_num)), trip_id, pickup_datetime
+          order by trip_miles, trip_time, "PULocationID", base_passenger_fare nulls first) = 1"""),
     # runs
     "best_run_per_group": f"""
         select config_id, first(run_id order by seconds, run_id) as best_run_id, min(seconds) as best_seconds

@@ -92,6 +92,40 @@ def ingest_new(
     return run_metrics(spark, run_id, options.mode, records)
 
 
+TAKEN_SCHEMA = "path string, run_id string, batch long, state string"
+
+
+def next_batch(spark: SparkSession, ledger: str, taken: str) -> tuple[int, DataFrame] | None:
+    """A numbered batch of files (``path``, ``run_id``) that bronze holds and a later layer has not finished.
+
+    A batch is written down before work on it begins, so a run after a failure gets the same files under the
+    same number; files that came since then make a batch of their own.
+    """
+    held = ingested_files(read_ledger(spark, ledger)).filter("known").select("path", "run_id")
+    number = 0
+    if table_exists(spark, taken):
+        records = spark.read.schema(TAKEN_SCHEMA).parquet(taken)
+        last = records.groupBy("batch").agg(F.bool_or(F.col("state") == DONE).alias("done")).orderBy(F.desc("batch")).first()
+        if last and not last["done"]:
+            return last["batch"], records.filter(F.col("batch") == last["batch"]).select("path", "run_id")
+        number = last["batch"] if last else 0
+        held = held.join(records, ["path", "run_id"], "left_anti")
+    files = materialise(held, "batch")
+    if files.isEmpty():
+        return None
+    _note(files, taken, number + 1, STARTED)
+    return number + 1, files
+
+
+def finish_batch(files: DataFrame, taken: str, number: int) -> None:
+    _note(materialise(files, "finished"), taken, number, DONE)
+
+
+def _note(files: DataFrame, taken: str, number: int, state: str) -> None:
+    noted = files.select("path", "run_id", F.lit(number).cast("long").alias("batch"), F.lit(state).alias("state"))
+    noted.coalesce(1).write.mode("append").parquet(taken)
+
+
 def _record(files: DataFrame, ledger: str, run_id: str, state: str) -> None:
     stamped = files.select(
         "path",

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import storage
 from tidemark.functions.lineage import plain_path
 from tidemark.scratch import materialise
 
@@ -59,8 +60,14 @@ def write_table(
     if written is not None:
         laid_out = laid_out.observe(written, F.count(F.lit(1)).alias("n"))
     dynamic = options.refresh == "partitions"
-    if mode == "overwrite" and not dynamic and table_exists(df.sparkSession, path):
+    whole = mode == "overwrite" and not dynamic
+    spark = df.sparkSession
+    present = table_exists(spark, path)
+    if whole and present:
         laid_out = materialise(laid_out, "successor")
+    known = _known_schema(spark, path) if present and not whole else None
+    if present and not whole and known is None:
+        known = spark.read.option("mergeSchema", True).parquet(path).schema
     (
         laid_out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -69,19 +76,37 @@ def write_table(
         .partitionBy(options.partition_by)
         .parquet(path)
     )
+    _remember_schema(spark, path, df.schema, known)
+
+
+SCHEMA_FILE = "_table_schema.json"  # names with an underscore are no data to Spark's readers
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException:
-        return False
-    return True
+    """One status call on the folder; nothing in it is listed."""
+    return storage.exists(spark, path)
+
+
+def _remember_schema(spark: SparkSession, path: str, schema: T.StructType, known: T.StructType | None) -> None:
+    """Keep the columns a table has got so far beside its data, so that no later run opens footers for them."""
+    fields = {f.name: f for f in [*(known.fields if known else []), *schema.fields]}
+    wanted = T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()])
+    if known is None or wanted != known:
+        storage.replace(spark, f"{path}/{SCHEMA_FILE}", wanted.json())
+
+
+def _known_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    text = storage.read_text(spark, f"{path}/{SCHEMA_FILE}")
+    return T.StructType.fromJson(json.loads(text)) if text else None
 
 
 def read_table(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
-    """A table with the columns of all its files, whatever run wrote them; the partition column is text."""
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    """A table with the columns of all its files, whatever run wrote them; the partition column is text.
+
+    The columns are those written down with the table; only where nothing is written down, because another
+    program made the table, all footers are merged.
+    """
+    found = _known_schema(spark, path) or spark.read.option("mergeSchema", True).parquet(path).schema
     kinds = [T.StructField(f.name, T.StringType()) if f.name == partition_by else f for f in found.fields]
     return spark.read.schema(T.StructType(kinds)).parquet(path)
 
