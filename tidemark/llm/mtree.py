@@ -240,10 +240,12 @@ def exact_top_k(
     vectors = placed.join(cells.drop("radius"), ["dim", "cell"]).select("dim", "cell", block.alias("part"), "id", "v")
 
     numbered = asked.filter("dim > 0").withColumn("q", F.monotonically_increasing_id())
-    there = materialise(_placed(numbered, centres, longest, lift=False), "placed_queries")
-    home = materialise(there.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("asks")), "query_cells")
+    located = materialise(_placed(numbered, centres, longest, lift=False), "placed_queries")
+    groups = -(-located.count() // QUERY_BLOCK)  # neighbouring cells share a group of queries, a full group is split
+    there = located.withColumn("near", F.floor(F.col("cell") * groups / wanted))
+    home = materialise(there.groupBy("dim", "near").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("asks")), "query_groups")
     salt = F.pmod(F.xxhash64("q"), F.col("asks")).cast("int")
-    ready = there.join(home, ["dim", "cell"]).select("q", "id", "v", "dim", F.concat_ws("-", "cell", salt).alias("ask"), "away")
+    ready = there.join(home, ["dim", "near"]).select("q", "id", "v", "dim", F.concat_ws("-", "near", salt).alias("ask"), "away")
 
     # one block of the nearest cell that has vectors gives a first limit
     options = ready.select("q", "dim", F.posexplode("away").alias("cell", "distance")).join(cells, ["dim", "cell"])
