@@ -10,7 +10,7 @@ come first.
    in packed arrays, one for each pair of task and bucket.
 2. Stretches of strings with a repeated anchor are cut out of the text, one piece for each anchor, and
    pieces with one anchor meet. Frequent anchors (boilerplate with ever new surroundings) are replaced by
-   ``LONG_ANCHOR``-byte ones, which spreads them. Equal pieces of a range of documents become one.
+   anchors nearly as long as the strings, which spreads them. Equal pieces of a range of documents become one.
 3. A block of pieces is a text of bounded size whose suffixes are sorted, one bucket of first bytes at a time.
    Suffixes that agree in ``PERIOD`` bytes are told apart by the ranks of a difference cover sample: for
    any two there is an offset at which both are sampled. Of equal strings the first is kept.
@@ -37,7 +37,7 @@ from tidemark.llm.textkit import BLOCK_BYTES, U64, flat_text, mix, ragged, runs,
 
 LENGTH = 100
 ANCHOR = 32
-LONG_ANCHOR = 97
+LONGER = 3  # the anchor of strings with a frequent one is this much shorter than they are
 FREQUENT = 512
 PERIOD = 32
 COVER = (0, 1, 2, 3, 7, 11, 19)
@@ -75,24 +75,64 @@ def _paired(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return _dense(first) * np.int64(len(first) + 2) + _dense(second)
 
 
+def _lexical(parts: list[np.ndarray]) -> np.ndarray:
+    """Ranks (the number of smaller ones) in the order of (parts[0], parts[1], ...); only ties are looked at again."""
+    n = len(parts[0])
+    rank = np.zeros(n, np.int64)
+    tied = np.arange(n)
+    for part in parts:
+        group = rank[tied]
+        key = _dense(part[tied]) if part is parts[0] else group * np.int64(len(tied) + 2) + _dense(part[tied])
+        order = np.argsort(key)
+        key, group, tied = key[order], group[order], tied[order]
+        place = np.arange(len(tied))
+        new_group = np.append(True, group[1:] != group[:-1])[: len(tied)]
+        new_key = np.append(True, key[1:] != key[:-1])[: len(tied)]
+        first, least = (np.maximum.accumulate(np.where(new, place, 0)) for new in (new_group, new_key))
+        rank[tied] = group + least - first
+        alone = new_key & np.append(new_key[1:], True)[: len(tied)]
+        tied = tied[~alone]
+        if not len(tied):
+            break
+    return rank
+
+
 def _period_rank(words: np.ndarray, spots: np.ndarray) -> np.ndarray:
-    """Ranks of the PERIOD bytes from each spot, by doubling; ``words`` has the 8 bytes from each place."""
-    pairs = [_paired(words[spots + i], words[spots + i + 8]) for i in range(0, PERIOD, 16)]
-    return _dense(_paired(*pairs))
+    """Ranks of the PERIOD bytes from each spot; ``words`` has the 8 bytes from each place.
+
+    Equal periods are brought together by one sort of a 64-bit mix of their bytes and verified, so only
+    different ones are ranked. Should two of them ever share a mix, all are.
+    """
+    parts = [words[spots + i] for i in range(0, PERIOD, 8)]
+    mixed = np.zeros(len(spots), np.uint64)
+    for part in parts:
+        mixed = mix(mixed * U64(0x9E3779B97F4A7C15) + part)
+    order = np.argsort(mixed)
+    new = np.append(True, mixed[order][1:] != mixed[order][:-1])[: len(order)]
+    for part in parts:
+        ranked = part[order]
+        if (~new[1:] & (ranked[1:] != ranked[:-1])).any():
+            return _lexical(parts)
+    one = order[new]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = _lexical([part[one] for part in parts])[np.cumsum(new) - 1]
+    return rank
 
 
 class CoverSample:
-    """Ranks, to a depth of 4 periods, of the suffixes of a block that start at sampled positions."""
+    """Ranks, to a depth of at least ``length`` bytes, of the suffixes of a block that start at sampled positions."""
 
-    def __init__(self, words: np.ndarray, n: int):
+    def __init__(self, words: np.ndarray, n: int, length: int = LENGTH):
         inside = np.zeros(PERIOD, bool)
         inside[list(COVER)] = True
         spots = np.flatnonzero(np.resize(inside, n))
-        self.rank = np.zeros(n + 5 * PERIOD, np.int64)
+        self.rank = np.zeros(n + 2 * length + 2 * PERIOD, np.int64)
         self.rank[spots] = _period_rank(words, spots)
-        for depth in (PERIOD, 2 * PERIOD):
+        depth = PERIOD
+        while depth < length:
             high = np.int64(len(spots) + 2)
             self.rank[spots] = _dense(self.rank[spots] * high + self.rank[spots + depth])
+            depth *= 2
 
     def compare(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """-1, 0 or 1 for suffixes that agree in the first PERIOD bytes."""
@@ -135,7 +175,7 @@ def first_of_equal(text: np.ndarray, starts: np.ndarray, length: int = LENGTH) -
     wide[:n] = text
     for step in (1, 2, 4):
         wide[: len(wide) - step] = wide[: len(wide) - step] << U64(8 * step) | wide[step:]
-    sample = CoverSample(wide, n)
+    sample = CoverSample(wide, n, length)
     first = np.zeros(len(starts), bool)
     row_at = np.zeros(n, np.int64)  # starts are distinct within a block
     row_at[starts] = np.arange(len(starts))
@@ -266,20 +306,22 @@ def _member(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
 class _Range:
     """The documents of a range in order, with the strings that may be repeats."""
 
-    def __init__(self, docs: pd.DataFrame, side: pd.DataFrame, length: int):
+    def __init__(self, docs: pa.Table, side: pa.Table, length: int):
         self.length = length
-        self.docs = docs.assign(_text=docs["text"].fillna("")).sort_values(["_id", "_text"], kind="stable").reset_index(drop=True)
-        packed = side[side["anchors"].notna()]
-        self.cold = np.sort(np.frombuffer(b"".join(packed["anchors"]), np.uint64))
-        self.hot = np.sort(np.frombuffer(b"".join(packed["frequent"]), np.uint64))
-        chunk = int(docs["chunk"].iloc[0]) if len(docs) else 0
+        texts = pc.fill_null(docs.column("text"), "")
+        docs = docs.set_column(docs.schema.get_field_index("text"), "text", texts)
+        self.docs = docs.take(pc.sort_indices(docs, [("id", "ascending"), ("text", "ascending")])).combine_chunks()
+        packed = side.filter(pc.is_valid(side.column("anchors")))
+        self.cold, self.hot = (
+            np.sort(np.frombuffer(b"".join(packed.column(name).to_pylist()), np.uint64)) for name in ("anchors", "frequent")
+        )
+        chunk = docs.column("chunk")[0].as_py() if docs.num_rows else 0
         self.base = chunk << ORDINAL_BITS
 
     def blocks(self) -> Iterator[tuple]:
         """Slices: first ordinal, bytes, offsets, anchors, and masks of cold and hot strings."""
-        texts = pa.array(self.docs["_text"], pa.string())
-        batch, ordinal = pa.RecordBatch.from_arrays([texts], ["text"]), 0
-        for part in slices(iter([batch]), limit=BLOCK_BYTES):
+        ordinal = 0
+        for part in slices(iter(self.docs.select(["text"]).to_batches()), limit=BLOCK_BYTES):
             flat, offsets = flat_text(part.column("text"))
             anchor, begins = _anchors(flat, offsets, ANCHOR, self.length)
             anchor = _value(anchor)
@@ -289,13 +331,16 @@ class _Range:
             ordinal += part.num_rows
 
 
-def _pieces(docs: pd.DataFrame, side: pd.DataFrame, length: int) -> pd.DataFrame:
+PIECE = pa.schema([("key", pa.int64()), ("ident", pa.int64()), ("pos", pa.int64()), ("piece", pa.binary())])
+
+
+def _pieces(docs: pa.Table, side: pa.Table, length: int) -> pa.Table:
     """Stretches of strings with one repeated anchor; equal ones of the range only once."""
     part, out = _Range(docs, side, length), []
     for ordinal, flat, offsets, anchor, cold, hot in part.blocks():
         long_anchor = None
         if hot.any():
-            long_anchor, _ = _anchors(flat, offsets, LONG_ANCHOR, length)
+            long_anchor, _ = _anchors(flat, offsets, length - LONGER, length)
             long_anchor = _value(long_anchor)
         for mask, values, seed in ((cold, anchor, 0), (hot, long_anchor, 1)):
             spots = np.flatnonzero(mask)
@@ -316,16 +361,15 @@ def _pieces(docs: pd.DataFrame, side: pd.DataFrame, length: int) -> pd.DataFrame
                     [flat[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())],
                 )
             )
-    names = ["key", "ident", "pos", "piece"]
     if not out:
-        return pd.DataFrame({n: [] for n in names}).astype({"key": "int64", "ident": "int64", "pos": "int64", "piece": object})
+        return PIECE.empty_table()
     key, ident, pos, h = (np.concatenate([o[i] for o in out]) for i in range(4))
     piece = [x for o in out for x in o[4]]
     order = np.lexsort((pos, ident))
     same = _paired(key[order], h[order])
     by = np.argsort(same)
     keep = order[np.sort(np.minimum.reduceat(by, runs(same[by])[:-1]))]
-    return pd.DataFrame({"key": key[keep].view(np.int64), "ident": ident[keep], "pos": pos[keep], "piece": [piece[i] for i in keep]})
+    return pa.table([key[keep].view(np.int64), ident[keep], pos[keep], pa.array([piece[i] for i in keep], pa.binary())], schema=PIECE)
 
 
 def _firsts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -383,12 +427,53 @@ def _bounded(table: pa.Table) -> Iterator[pa.Table]:
             start = stop
 
 
+RESULT = ("kept", "n_bytes", "n_removed", "n_spans")
+
+
+def _removed(docs: pa.Table, side: pa.Table, length: int) -> pa.Table:
+    """What is left of the documents of a range; ``side`` has the repeated anchors and the runs that came first."""
+    part = _Range(docs, side, length)
+    found = side.filter(pc.is_valid(side.column("ident")))
+    ident, pos, n = (found.column(name).to_numpy().astype(np.int64) for name in ("ident", "pos", "n"))
+    order = np.argsort(ident, kind="stable")
+    ident, pos, n = ident[order] - part.base, pos[order], n[order]
+    kept, removed, spans, sizes = [], [], [], []
+    for ordinal, flat, offsets, _, cold, hot in part.blocks():
+        repeat = cold | hot
+        a, b = np.searchsorted(ident, [ordinal, ordinal + len(offsets) - 1])
+        where = np.repeat(offsets[ident[a:b] - ordinal] + pos[a:b], n[a:b]) + ragged(n[a:b])
+        repeat[where] = False
+        edge = np.zeros(len(flat) + 1, np.int64)
+        hits = np.flatnonzero(repeat)
+        edge[hits] += 1  # places are distinct
+        edge[hits + length] -= 1
+        gone = np.cumsum(edge[:-1]) > 0
+        begin = gone.copy()
+        begin[1:] &= ~gone[:-1]
+        cuts = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(flat))]
+        begin[cuts] = gone[cuts]
+        for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            kept.append(flat[x:y][~gone[x:y]].tobytes())
+            removed.append(int(gone[x:y].sum()))
+            spans.append(int(begin[x:y].sum()))
+            sizes.append(y - x)
+    numbers = (pa.array(x, pa.int64()) for x in (sizes, removed, spans))
+    return pa.table([part.docs.column("row"), pa.array(kept, pa.binary()), *numbers], names=["row", *RESULT])
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """All columns of ``docs``, with ``kept`` (the bytes left), ``n_bytes``, ``n_removed`` and ``n_spans``."""
+    """``kept`` (the bytes left), ``n_bytes``, ``n_removed``, ``n_spans``, and all columns of ``docs`` but ``text``.
+
+    Other columns pass unseen and unchanged, whatever their names; only one named like a result is replaced by
+    it. ``length`` may be any from 48 bytes on.
+    """
+    if length < ANCHOR + 16:
+        raise ValueError(f"length must be at least {ANCHOR + 16}")
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     points = split_points(docs, 4 * parts)
-    rows = docs.withColumn("_id", id_of()).withColumn("chunk", range_index(points))
+    own = [F.col(f"`{name}`") for name in docs.columns if name != "text" and name not in RESULT]
+    rows = docs.select(F.struct(*own).alias("row"), id_of().alias("id"), range_index(points).alias("chunk"), "text")
     packed = rows.select("chunk", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         lambda batches: _unique_anchors(batches, max(8, parts // 2), length),
         "bucket int, anchors binary, chunks binary, counts binary",
@@ -396,8 +481,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     repeated = packed.groupBy("bucket").applyInPandas(_repeated_anchors, "chunk int, anchors binary, frequent binary")
     nothing = F.lit(None).cast("long")
     side = repeated.select("chunk", "anchors", "frequent", nothing.alias("ident"), nothing.alias("pos"), nothing.alias("n"))
-    by_chunk = rows.groupBy("chunk")
-    pieces = by_chunk.cogroup(side.groupBy("chunk")).applyInPandas(
+    pieces = rows.drop("row").groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(
         lambda d, s: _pieces(d, s, length), "key long, ident long, pos long, piece binary"
     )
     firsts = (
@@ -407,40 +491,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     empty = F.lit(None).cast("binary")
     both = side.unionByName(firsts.select("chunk", empty.alias("anchors"), empty.alias("frequent"), "ident", "pos", "n"))
-    names = docs.columns
-
-    def remove(d: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        part = _Range(d, s, length)
-        runs_ = s[s["ident"].notna()]
-        ident = runs_["ident"].to_numpy(np.int64) - part.base
-        order = np.argsort(ident, kind="stable")
-        ident, pos, n = ident[order], runs_["pos"].to_numpy(np.int64)[order], runs_["n"].to_numpy(np.int64)[order]
-        kept, removed, spans, sizes = [], [], [], []
-        for ordinal, flat, offsets, _, cold, hot in part.blocks():
-            repeat = cold | hot
-            a, b = np.searchsorted(ident, [ordinal, ordinal + len(offsets) - 1])
-            where = np.repeat(offsets[ident[a:b] - ordinal] + pos[a:b], n[a:b]) + ragged(n[a:b])
-            repeat[where] = False
-            edge = np.zeros(len(flat) + 1, np.int64)
-            hits = np.flatnonzero(repeat)
-            edge[hits] += 1  # places are distinct
-            edge[hits + length] -= 1
-            gone = np.cumsum(edge[:-1]) > 0
-            begin = gone.copy()
-            begin[1:] &= ~gone[:-1]
-            cuts = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(flat))]
-            begin[cuts] = gone[cuts]
-            for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-                kept.append(flat[x:y][~gone[x:y]].tobytes())
-                removed.append(int(gone[x:y].sum()))
-                spans.append(int(begin[x:y].sum()))
-                sizes.append(y - x)
-        out = part.docs[names].copy()
-        return out.assign(kept=kept, n_bytes=sizes, n_removed=removed, n_spans=spans)
-
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
-    schema = f"{fields}, kept binary, n_bytes long, n_removed long, n_spans long"
-    return by_chunk.cogroup(both.groupBy("chunk")).applyInPandas(remove, schema)
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, kept binary, n_bytes long, n_removed long, n_spans long"
+    left = rows.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(lambda d, s: _removed(d, s, length), schema)
+    return left.select("row.*", *RESULT)
 
 
 def text_of(column: str) -> Column:
