@@ -481,7 +481,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     repeated = packed.groupBy("bucket").applyInPandas(_repeated_anchors, "chunk int, anchors binary, frequent binary")
     nothing = F.lit(None).cast("long")
     side = repeated.select("chunk", "anchors", "frequent", nothing.alias("ident"), nothing.alias("pos"), nothing.alias("n"))
-    pieces = rows.drop("row").groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(
+    by_chunk = rows.groupBy("chunk")  # shuffled once for both passes over the texts
+    pieces = by_chunk.cogroup(side.groupBy("chunk")).applyInArrow(
         lambda d, s: _pieces(d, s, length), "key long, ident long, pos long, piece binary"
     )
     firsts = (
@@ -492,7 +493,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     empty = F.lit(None).cast("binary")
     both = side.unionByName(firsts.select("chunk", empty.alias("anchors"), empty.alias("frequent"), "ident", "pos", "n"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, kept binary, n_bytes long, n_removed long, n_spans long"
-    left = rows.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(lambda d, s: _removed(d, s, length), schema)
+    left = by_chunk.cogroup(both.groupBy("chunk")).applyInArrow(lambda d, s: _removed(d, s, length), schema)
     return left.select("row.*", *RESULT)
 
 
