@@ -40,11 +40,22 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document id of each group; documents without words or id stay."""
+    """One document of each group of near duplicates: the smallest id, null ids last; documents without words stay.
+
+    Groups are of rows, not of ids: rows that repeat an id stay or go by their own texts, and of equal rows one stays.
+    """
     ship(spark)
-    groups = jaccard_join.similar_groups(docs, NEAR_WORDS, NEAR_PERCENT)
-    gone = groups.filter("component_id != doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    names = {"_row_" + "x" * n for n in range(len(docs.columns) + 1)} - set(docs.columns)
+    row = min(names, key=len)  # a name that no column has
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    groups = jaccard_join.similar_groups(numbered.select(F.col(row).alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT)
+    grouped = materialise(groups.select(F.col("doc_id").alias(row), "component_id"), "groups")
+    shared = grouped.filter(F.col("component_id") != F.col(row)).select("component_id").distinct()
+    members = grouped.join(shared, "component_id", "left_semi").join(numbered.select(row, "doc_id"), row)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("first"))).alias("best")
+    stays = members.groupBy("component_id").agg(best)
+    gone = members.join(stays, "component_id").filter(F.col("best.first") != F.col(row)).select(row)
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def fresh_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
