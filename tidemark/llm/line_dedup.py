@@ -94,12 +94,16 @@ class LineRuns:
         return self._totals(self._paths()).filter(F.col("docs") >= min_docs)
 
 
+RESULT = ("n_lines", "n_dropped")
+
+
 def drop_repeated_lines(
     docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = MIN_DOCS, batches: int = BATCHES
 ) -> DataFrame:
     """All columns of ``docs`` with the text without its repeated lines, plus ``n_lines`` and ``n_dropped``.
 
-    The text is scanned twice and shuffled once; between the scans only line hashes move.
+    The text is scanned twice and shuffled once; between the scans only line hashes move. Other columns pass
+    unseen, whatever their names; one named like a result is replaced by it.
     """
     spark = docs.sparkSession
     store, table = LineRuns(spark), new_dir(spark, "line-keys")
@@ -114,13 +118,15 @@ def drop_repeated_lines(
     lines = lines_of(F.col("text"))
     kept = F.filter(
         lines,
-        lambda x: (F.length(F.btrim(x, F.lit(EDGE))) < min_length) | ~F.array_contains("_dropped", hash_of(x)),
+        lambda x: (F.length(F.btrim(x, F.lit(EDGE))) < min_length) | ~F.array_contains("dropped", hash_of(x)),
     )
-    named = drops.select(F.col("id").alias("_id"), F.col("dropped").alias("_dropped"))
-    joined = docs.withColumn("_id", id_of()).join(named, "_id", "left")
-    return joined.withColumns({"_lines": lines, "_kept": F.when(F.col("_dropped").isNull(), lines).otherwise(kept)}).select(
-        *[F.col(c) for c in docs.columns if c != "text"],
-        F.array_join("_kept", "\n").alias("text"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size("_kept")).cast("long").alias("n_dropped"),
+    own = [F.col(f"`{name}`") for name in docs.columns if name not in ("text", *RESULT)]
+    packed = docs.select(F.struct(*own).alias("row"), id_of().alias("id"), "text")
+    joined = packed.join(drops.withColumnRenamed("id", "dropped_id"), F.col("id") == F.col("dropped_id"), "left")
+    split = joined.select("row", lines.alias("lines"), F.when(F.col("dropped").isNull(), lines).otherwise(kept).alias("kept"))
+    return split.select(
+        "row.*",
+        F.array_join("kept", "\n").alias("text"),
+        F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
     )

@@ -178,7 +178,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """
     known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))  # one row for an id
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), schema).sort_by([("doc_id", "ascending")])
@@ -196,7 +197,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
-    """All columns of ``docs`` and ``quality_score``. The model's size does not depend on the data."""
+    """All columns of ``docs`` and ``quality_score``, which replaces one of that name. The model's size does not depend on the data."""
+    docs = docs.drop("quality_score")
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     names = docs.columns
 
