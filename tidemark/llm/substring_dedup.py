@@ -310,7 +310,7 @@ class _Range:
         self.length = length
         texts = pc.fill_null(docs.column("text"), "")
         docs = docs.set_column(docs.schema.get_field_index("text"), "text", texts)
-        self.docs = docs.take(pc.sort_indices(docs, [("id", "ascending"), ("text", "ascending")])).combine_chunks()
+        self.docs = docs.take(pc.sort_indices(docs, [("id", "ascending"), ("text", "ascending")]))
         packed = side.filter(pc.is_valid(side.column("anchors")))
         self.cold, self.hot = (
             np.sort(np.frombuffer(b"".join(packed.column(name).to_pylist()), np.uint64)) for name in ("anchors", "frequent")
@@ -430,6 +430,12 @@ def _bounded(table: pa.Table) -> Iterator[pa.Table]:
 RESULT = ("kept", "n_bytes", "n_removed", "n_spans")
 
 
+def _freed(table: pa.Table) -> pa.Table:
+    """Give memory that a range needed back to the machine; Arrow would keep it for the worker's next one."""
+    pa.default_memory_pool().release_unused()
+    return table
+
+
 def _removed(docs: pa.Table, side: pa.Table, length: int) -> pa.Table:
     """What is left of the documents of a range; ``side`` has the repeated anchors and the runs that came first."""
     part = _Range(docs, side, length)
@@ -483,7 +489,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     side = repeated.select("chunk", "anchors", "frequent", nothing.alias("ident"), nothing.alias("pos"), nothing.alias("n"))
     by_chunk = rows.groupBy("chunk")  # shuffled once for both passes over the texts
     pieces = by_chunk.cogroup(side.groupBy("chunk")).applyInArrow(
-        lambda d, s: _pieces(d, s, length), "key long, ident long, pos long, piece binary"
+        lambda d, s: _freed(_pieces(d, s, length)), "key long, ident long, pos long, piece binary"
     )
     firsts = (
         pieces.repartition(parts, "key")
@@ -493,7 +499,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     empty = F.lit(None).cast("binary")
     both = side.unionByName(firsts.select("chunk", empty.alias("anchors"), empty.alias("frequent"), "ident", "pos", "n"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, kept binary, n_bytes long, n_removed long, n_spans long"
-    left = by_chunk.cogroup(both.groupBy("chunk")).applyInArrow(lambda d, s: _removed(d, s, length), schema)
+    left = by_chunk.cogroup(both.groupBy("chunk")).applyInArrow(lambda d, s: _freed(_removed(d, s, length)), schema)
     return left.select("row.*", *RESULT)
 
 
