@@ -26,7 +26,7 @@ from tidemark.plans.snapshots import SnapshotTable
 from tidemark.schema import BRONZE_SCHEMA, TRIP_SCHEMA, schema_issues, union_all
 from tidemark.scratch import new_dir
 from tidemark.sources import feeds, files
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, published
 
 try:  # the subpackage for training text is optional
     from tidemark.llm.queries import ORACLES as TEXT_ORACLES
@@ -647,6 +647,50 @@ def stream_upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(spark.read.schema(BRONZE_SCHEMA).parquet(target).drop("stream_id", "batch_id"))
 
 
+def _arrivals(spark: SparkSession, sf_dir: str, wanted: list[str], run: Callable[[DataFrame], object]) -> None:
+    """Events arrive in deliveries, each chosen by a predicate; after each one the stream takes what is new."""
+    raw, trips = new_dir(spark, "arrivals"), _trips(spark, sf_dir)
+    for number, rows in enumerate(wanted):
+        trips.filter(rows).write.parquet(f"{raw}/delivery-{number}")
+        feed = feeds.directory_feed(spark, raw).at(f"{raw}/*")
+        run(jobs.read_stream(spark, feed, None, lineage=False))
+
+
+THIRDS = ["trip_id % 3 = 0", "trip_id % 3 = 1", "trip_id % 3 = 2"]
+
+
+@_query
+def stream_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of a stream, published in one step each, then folded: the rows, and the folders of their month."""
+    table = SnapshotTable(spark, new_dir(spark, "stream"), ("pickup_month",))
+    progress = new_dir(spark, "progress")
+    _arrivals(spark, sf_dir, THIRDS, lambda s: published.publish(jobs.bronze(s, ingested_at=INGESTED_AT), table, progress))
+    folders = published.fold(table).folders
+    rows = table.read().withColumn("folders", F.lit(max(len(held) for held in folders.values())))
+    return rows.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz"))
+
+
+@_query
+def stream_late_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows of a stream whose later batches come late for most of them, the last windows included."""
+    demand = published.WindowedDemand.at(spark, new_dir(spark, "stream"))
+    progress = new_dir(spark, "progress")
+    _arrivals(spark, sf_dir, THIRDS, lambda s: demand.run(s, progress, timedelta(hours=1)))
+    return demand.windows()
+
+
+@_query
+def stream_dedup_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies batches apart, behind any watermark, come out once."""
+    table = SnapshotTable(spark, new_dir(spark, "stream"), ("pickup_month",))
+    progress = new_dir(spark, "progress")
+    rows = lambda s: jobs.bronze(s, ingested_at=INGESTED_AT)
+    copies = ["trip_id % 3 <> 0", "trip_id % 3 <> 1", "true"]
+    order = [F.col("ingestion_timestamp")]
+    _arrivals(spark, sf_dir, copies, lambda s: published.publish_once(rows(s), table, progress, ["trip_id"], order))
+    return table.read().withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz"))
+
+
 # --- contract --------------------------------------------------------------------------------
 
 

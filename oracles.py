@@ -344,4 +344,15 @@ ORACLES: dict[str, str] = {
         where window_end <= (select max(ts) - interval 1 hour from events)""",
     "stream_dedup": EVENTS,
     "stream_upsert_partitions": _bronze(EVENTS, "events"),
+    "stream_compact": f"select * exclude (source_file), 1 as folders from ({_bronze(EVENTS, 'events')})",
+    "stream_dedup_history": f"select * exclude (source_file) from ({_bronze(EVENTS, 'events')})",
+    "stream_late_demand": f"""
+        with trips as (
+          select trip_id % 3 as delivery, pickup_datetime as t, time_bucket(interval 1 hour, pickup_datetime) as window_start
+          from ({EVENTS}) where pickup_datetime is not null),
+        marks as (select 1 as delivery, max(t) - interval 1 hour as mark from trips where delivery < 1
+                  union all select 2, max(t) - interval 1 hour from trips where delivery < 2)
+        select window_start, window_start + interval 1 hour as window_end, cast(count(*) as bigint) as trips,
+               cast(count(*) filter (where window_start + interval 1 hour <= mark) as bigint) as late_trips
+        from trips left join marks using (delivery) group by all""",
 }

@@ -120,23 +120,26 @@ class SnapshotTable:
         emptied: Iterable[str] = (),
         base: Snapshot | None = None,
         tag: tuple[str, str] | None = None,
+        also: dict[str, str] | None = None,
     ) -> Snapshot:
         """Make rows part of the table: ``append``, ``replace`` (their partitions) or ``table`` (everything).
 
+        ``guarded`` appends, unless another writer changed the rows' partitions since ``base``. ``fold`` puts the
+        rows in place of what ``base`` held of the ``emptied`` partitions; what was appended since stays.
         ``emptied`` names partitions that lose all rows they have not got anew. ``base`` is the snapshot the rows
         were computed from: a partition changed since then by another writer is a conflict. ``tag`` (key,
-        value) is kept with the snapshot and all later ones; see :meth:`tagged`.
+        value) is kept with the snapshot and all later ones; see :meth:`tagged`. ``also`` holds more to keep.
         """
-        if mode not in ("append", "replace", "table"):
+        if mode not in ("append", "guarded", "fold", "replace", "table"):
             raise ValueError(f"unknown mode: {mode}")
-        seen = base or self.current()
+        seen = base if base or mode == "guarded" else self.current()
         staged, schema = self.stage(rows)
         while True:
             newest = self.current()
             if tag and newest and newest.tags.get(tag[0]) == tag[1]:
                 return newest  # another attempt at the same batch was faster
             merged = self._merged(staged, mode, list(emptied), seen, newest)
-            tags = {**(newest.tags if newest else {}), **(dict([tag]) if tag else {})}
+            tags = {**(newest.tags if newest else {}), **(dict([tag]) if tag else {}), **(also or {})}
             number = max(self._numbers(), default=0) + 1
             candidate = Snapshot(number, merged, _widened(newest.schema, schema) if newest and mode != "table" else schema, tags)
             if self._publish(candidate):
@@ -150,9 +153,18 @@ class SnapshotTable:
         if mode == "append":
             return {**old, **{name: [*old.get(name, []), *folders] for name, folders in staged.items()}}
         changed = {name for name in {*old, *before} if old.get(name) != before.get(name)}
+        if mode == "fold":  # appends since then are no conflict
+            changed = {name for name in changed if not set(before.get(name, [])) <= set(old.get(name, []))}
         conflict = changed if mode == "table" else changed.intersection([*staged, *emptied])
         if conflict:
             raise ConcurrentChange(f"{self.root}: {sorted(conflict)[:5]} changed since snapshot {seen.number if seen else 0}")
+        if mode == "guarded":
+            return {**old, **{name: [*old.get(name, []), *folders] for name, folders in staged.items()}}
+        if mode == "fold":
+            since = {name: [f for f in old[name] if f not in before[name]] for name in emptied}
+            folded = {name: [*staged.get(name, []), *since.get(name, [])] for name in {*staged, *emptied}}
+            others = {name: folders for name, folders in old.items() if name not in folded}
+            return {**others, **{name: folders for name, folders in folded.items() if folders}}
         kept = {} if mode == "table" else {name: folders for name, folders in old.items() if name not in emptied}
         return {**kept, **staged}
 

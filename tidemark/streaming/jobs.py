@@ -95,6 +95,14 @@ def run_to_files(
     return query
 
 
+def stream_identity(batch: DataFrame) -> str:
+    """The identity of the query a micro-batch belongs to, which Spark keeps in the checkpoint."""
+    stream_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+    if not stream_id:
+        raise RuntimeError("the batch does not say which streaming query it belongs to")
+    return stream_id
+
+
 def publish_partitions(
     df: DataFrame, target: str, checkpoint: str, partition_by: str = "pickup_month"
 ) -> StreamingQuery:
@@ -106,10 +114,7 @@ def publish_partitions(
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        stream_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        if not stream_id:
-            raise RuntimeError("the batch does not say which streaming query it belongs to")
-        rows = batch.withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("long")})
+        rows = batch.withColumns({"stream_id": F.lit(stream_identity(batch)), "batch_id": F.lit(batch_id).cast("long")})
         (
             rows.hint("rebalance", partition_by)
             .write.mode("overwrite")
