@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import pytest
 
-from tidemark.llm import line_dedup, quality, substring_dedup
+from tidemark.llm import jaccard_join, line_dedup, quality, substring_dedup
 
 BIG = 1 << 60
 NAMES = ["_id", "chunk", "kept", "_dropped", "n_lines", "quality_score", "batch", "row", "id", "_row_"]
@@ -87,3 +87,12 @@ def test_near_duplicate_stage(spark):
     wanted = [(1, p), (2, other), (None, None), (5, ""), (BIG, "alone here")]
     assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(wanted, key=str)
     assert corpus_pipeline.one_of_near_duplicates(spark, docs.limit(0), "").collect() == []
+
+
+def test_jaccard_join_keeps_large_ids_beside_nulls(spark):
+    """One range holds all rows; ids above 2^53 that differ in the last bits must not meet."""
+    rows = [(BIG + 1, LONG), (BIG + 3, "else " * 30), (None, LONG), (None, None), (BIG + 2, LONG + "more"), (BIG + 9, LONG)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = sorted(((r.doc_id, r.component_id) for r in jaccard_join.similar_groups(docs).collect()), key=str)
+    want = [(BIG + 1, BIG + 1), (BIG + 3, BIG + 3), (None, None), (None, None), (BIG + 2, BIG + 1), (BIG + 9, BIG + 1)]
+    assert found == sorted(want, key=str)

@@ -131,6 +131,50 @@ def test_token_counts(spark, docs):
         assert {r.tokenizer: (r.docs, r.tokens) for r in state.totals().collect()} == want
 
 
+def test_folded_batches_are_not_counted_again(spark):
+    rows = lambda *r: spark.createDataFrame([("s", None, "t", d, n) for d, n in r], "source string, lang string, tokenizer string, docs long, tokens long")
+    rollup = token_counts.Rollup(spark)
+    of = lambda state: [(r.docs, r.tokens) for r in state.totals().collect()]
+    assert of(rollup) == [] and of(rollup.compact()) == []
+    rollup.commit(1, rows((1, 3), (1, 2)))
+    rollup.commit(2, rows((-1, -2)))
+    assert of(rollup) == of(rollup.compact()) == [(1, 3)]
+    for batch in (1, 2):
+        rollup.commit(batch, rows((-1, -2)))
+    assert of(rollup) == [(1, 3)]
+    rollup.commit(3, rows((1, 9)))
+    rollup.commit(3, rows((1, 8)))
+    assert of(rollup) == [(2, 11)]
+    assert of(rollup.compact()) == [(2, 11)]
+    rollup.commit(3, rows((1, 9)))
+    assert of(rollup) == [(2, 11)]
+    rollup.commit(4, rows((5, 5)))
+    rollup.commit(4, rows((5, 5)).limit(0))
+    assert of(rollup) == [(2, 11)]
+    rollup.commit(0, rows((-2, -11)))
+    assert of(rollup) == of(rollup.compact()) == []
+    assert token_counts._folded(rollup.table.current()) == [(0, 3)]
+
+
+def test_a_writer_lost_in_a_commit_leaves_the_batch(spark, monkeypatch):
+    rows = spark.createDataFrame([("s", "l", "t", 1, 3)], "source string, lang string, tokenizer string, docs long, tokens long")
+    rollup = token_counts.Rollup(spark)
+    rollup.commit(1, rows)
+    monkeypatch.setattr(type(rollup.table), "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        rollup.commit(1, rows.union(rows))
+    assert [(r.docs, r.tokens) for r in rollup.totals().collect()] == [(1, 3)]
+
+
+def test_counts_of_a_vocabulary(spark, docs):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = vocabulary("byte_bpe_50k.json")
+    counts = token_counts.counted(docs, {"byte_bpe_50k": token_counts.byte_bpe(path)})
+    library = tokenizers.Tokenizer.from_file(path)
+    want = {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in texts_of(docs)}
+    assert {r.doc_id: r.tokens for r in counts.collect()} == want
+
+
 def plain_ppm(counts: dict[str, int]):
     ended = lambda w: b" " + w.encode() + (b"" if w == "\n" else b" ")
 

@@ -166,9 +166,8 @@ def _prefixes(docs: pd.DataFrame, shared: pd.DataFrame, buckets: int, width: int
     rank = np.frombuffer(b"".join(shared["sizes"]), np.uint8).astype(np.int64)
     order = np.argsort(common, kind="stable")
     common, rank = common[order], rank[order]
-    texts = pa.RecordBatch.from_arrays(
-        [pa.array(docs["doc_id"], pa.int64(), from_pandas=True), pa.array(docs["text"], pa.string())], ["doc_id", "text"]
-    )
+    ids = pa.array(docs["doc_id"].to_numpy(np.int64), mask=~docs["named"].to_numpy(bool))
+    texts = pa.RecordBatch.from_arrays([ids, pa.array(docs["text"], pa.string())], ["doc_id", "text"])
     found = list(_prefix_rows(iter([texts]), common, rank, buckets, width, percent))
     table = pa.Table.from_batches(found, pa.schema(list(zip(NAMES, TYPES))))
     return table.to_pandas(integer_object_nulls=True)
@@ -297,7 +296,9 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT
         lambda b: _counted(b, 2 * parts, width), "bucket int, shingles binary, chunks binary, counts binary"
     )
     shared = counted.groupBy("bucket").applyInPandas(_elsewhere, "part int, shingles binary, sizes binary")
-    prefixes = ranged.groupBy("chunk").cogroup(shared.groupBy("part"))
+    # a null among the ids of a range would turn them into floats in pandas
+    named = ranged.select("chunk", F.col("doc_id").isNotNull().alias("named"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "text")
+    prefixes = named.groupBy("chunk").cogroup(shared.groupBy("part"))
     scanned = materialise(prefixes.applyInPandas(lambda d, c: _prefixes(d, c, 2 * parts, width, percent), OUT), "shingles")
     each = scanned.filter("kind = 0").select("doc_id", "n", "sig1", "sig2", "grp")
     near = scanned.filter("kind = 1").select(F.col("doc_id").alias("a"), F.col("grp").alias("b"))
