@@ -279,6 +279,34 @@ def bronze_file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def bronze_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per month, codec and files under other codecs and degrees of parallelism."""
+    rows = bronze.transform(feeds.read_trips(spark, sf_dir, "orders"), ingested_at=INGESTED_AT)
+    found = []
+    for codec, tasks in (("zstd", 1), ("gzip", 2), ("none", 3)):
+        target = new_dir(spark, "bronze")
+        write_table(rows.repartition(4), target, WriteOptions(compression=codec, coalesce_n=tasks, refresh="table"))
+        path = F.col("_metadata.file_path")
+        seen = bronze.read_bronze(spark, target).groupBy("pickup_month", path.alias("path")).agg(F.count(F.lit(1)).alias("n"))
+        suffix = F.regexp_extract("path", r"([a-z]*)[.]parquet$", 1)
+        written = F.when(F.col("path").rlike(r"[.](zstd|gz)[.]parquet$"), suffix).otherwise("none")
+        found.append(
+            seen.groupBy(F.lit(codec).alias("asked"), written.alias("codec"), "pickup_month").agg(
+                F.sum("n").alias("trips"), (F.count(F.lit(1)) <= tasks).alias("few_files")
+            )
+        )
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@_query
+def count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read and written by each source of a run whose writes shuffle."""
+    counted = _options(mode=FILE_LOOP, count_rows=True)
+    metrics = bronze.ingest(spark, _all_feeds(sf_dir), new_dir(spark, "bronze"), counted)
+    return metrics.select("source", "status", "files", "rows_in", "rows_out")
+
+
 @_query
 def month_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_dir(spark, "bronze")
@@ -589,6 +617,7 @@ def run_metrics_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = F.col("status") == runs.STATUS_FAILED
     file = F.concat(F.lit("file-"), F.col("files_processed"))
+    module = F.concat(F.lit("mode_"), F.col("processing_mode"))
     fields = runs.audit_fields(
         "logged_at",
         level=F.when(failed, "ERROR").otherwise("INFO"),
@@ -600,6 +629,12 @@ def audit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
             "file_name": F.when(F.col("files_processed") > 0, file),
             "exception": F.col("error"),
         },
+        origin={
+            "logger": F.concat(F.lit("jobs."), module),
+            "module": module,
+            "function": F.when(failed, "on_failure").otherwise("on_success"),
+            "line": F.col("shuffle_partitions"),
+        },
     )
     return runs.audit_json(_run_results(spark, sf_dir), fields)
 

@@ -115,7 +115,11 @@ from events"""
 AUDIT = f"""
 select '{{"timestamp":"' || strftime(logged_at, '%Y-%m-%dT%H:%M:%S.%gZ') || '"'
     || ',"level":"' || case when status = 'failed' then 'ERROR' else 'INFO' end || '"'
+    || ',"logger":"jobs.mode_' || processing_mode || '"'
     || ',"message":"run ' || status || '"'
+    || ',"module":"mode_' || processing_mode || '"'
+    || ',"function":"on_' || case when status = 'failed' then 'failure' else 'success' end || '"'
+    || ',"line":' || shuffle_partitions
     || ',"job":"' || processing_mode || '","layer":"bronze","run_id":' || run_id
     || case when files_processed > 0 then ',"file_name":"file-' || files_processed || '"' else '' end
     || case when error is not null then ',"exception":"' || error || '"' else '' end
@@ -187,6 +191,15 @@ ORACLES: dict[str, str] = {
     "bronze_file_sizes": f"""
         select pickup_month, cast(count(*) as bigint) as row_count, cast(0 as bigint) as files_over_cap,
                true as enough_files from ({_bronze(LINEITEM)}) group by 1""",
+    "bronze_layout": f"""
+        select asked, codec, pickup_month, cast(count(*) as bigint) as trips, true as few_files
+        from ({_bronze(ORDERS)}) cross join (values ('zstd', 'zstd'), ('gzip', 'gz'), ('none', 'none')) as c(asked, codec)
+        group by all""",
+    "count_rows": " union all ".join(
+        f"""select '{name}.parquet' as source, 'ok' as status, cast(1 as bigint) as files, cast(count(*) as bigint) as rows_in,
+            cast(count(*) filter (where {VALID}) as bigint) as rows_out from ({trips})"""
+        for name, trips in (("events", EVENTS), ("orders", ORDERS), ("lineitem", LINEITEM))
+    ),
     "month_slice": f"select * from ({_bronze(ORDERS, 'orders')}) where pickup_month = '1997-01'",
     "ingest_metrics": FILE_METRICS,
     # quality

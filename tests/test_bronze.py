@@ -67,6 +67,12 @@ def test_run_metrics(spark, feed, tmp_path):
     assert whole.rows_out == sum(kept for _, kept in want.values())
 
 
+def test_rows_read_come_from_footers_and_filters_stay_in_the_scan(spark, feed):
+    plan = bronze.rows_read(spark, [feed])._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<>" in plan
+    assert bronze.rows_read(spark, [feed]).first().n == spark.read.parquet(*feed.paths).count()
+
+
 def test_one_bad_file_does_not_stop_the_others(spark, raw_dir, tmp_path):
     (raw_dir / "trips-0.parquet").write_bytes(b"junk")
     feed = directory_feed(spark, str(raw_dir))

@@ -59,3 +59,13 @@ def test_audit_record_leaves_out_absent_fields(spark):
     fields = runs.audit_fields("at", F.lit("INFO"), F.lit('say "x"'), {"run_id": F.col("id"), "file_name": F.col("file")})
     record = json.loads(runs.audit_json(df, fields).first().record)
     assert record == {"timestamp": "2024-01-01T01:02:03.456Z", "level": "INFO", "message": 'say "x"', "run_id": 7}
+
+
+def test_audit_record_says_where_it_was_made(spark):
+    df = spark.sql("select timestamp_ntz'2024-01-01 01:02:03.456789' as at")
+    origin = {"line": F.lit(7), "logger": F.lit("a.b"), "function": F.lit("f"), "module": F.lit(None).cast("string")}
+    fields = runs.audit_fields("at", F.lit("INFO"), F.lit("m"), {"run_id": F.lit("r")}, origin)
+    record = json.loads(runs.audit_json(df, fields).first().record)
+    assert list(record) == ["timestamp", "level", "logger", "message", "function", "line", "run_id"]
+    with pytest.raises(ValueError):
+        runs.audit_fields("at", F.lit("INFO"), F.lit("m"), {}, {"thread": F.lit(1)})

@@ -94,12 +94,24 @@ def audit_json(df: DataFrame, fields: dict[str, Column], column: str = "record")
 
 
 def audit_fields(
-    logged_at: str, level: Column, message: Column, context: dict[str, Column]
+    logged_at: str, level: Column, message: Column, context: dict[str, Column], origin: dict[str, Column] | None = None
 ) -> dict[str, Column]:
-    """Fields of a structured log record in their fixed order; ``context`` holds the optional ones."""
-    return {
+    """Fields of a structured log record in their fixed order.
+
+    ``origin`` says where a record was made: ``logger``, ``module``, ``function`` and ``line``, each optional.
+    ``context`` holds the optional fields behind them.
+    """
+    made = origin or {}
+    unknown = set(made) - {"logger", "module", "function", "line"}
+    if unknown:
+        raise ValueError(f"no fields of a record's origin: {sorted(unknown)}")
+    ordered = {
         "timestamp": F.date_format(logged_at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
         "level": level,
+        "logger": made.get("logger"),
         "message": message,
-        **context,
+        "module": made.get("module"),
+        "function": made.get("function"),
+        "line": made.get("line"),
     }
+    return {**{name: value for name, value in ordered.items() if value is not None}, **context}

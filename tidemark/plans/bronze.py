@@ -38,9 +38,8 @@ RUN_SCHEMA = (
 class IngestOptions:
     """Options of an ingestion run.
 
-    ``count_rows`` also counts the rows read, within the same job. The filters then run above the
-    scan instead of inside it, and with ``write.rebalance`` a scan task repeated after an executor
-    loss may count twice (:func:`file_metrics` is the exact query). ``keep_going`` records a failed
+    ``count_rows`` also counts the rows read, exactly and under every layout: from the footers, in a job of its
+    own, so that the filters of the write stay in its scan (:func:`rows_read`). ``keep_going`` records a failed
     source and continues with the next one. ``tolerant`` sorts out unreadable files before anything is
     written and reports each as a source of its own with the status ``skipped``. ``ingested_at`` fixes the ingestion timestamp so that a
     run can be repeated. ``before_source`` is called before each source of a file loop is read.
@@ -91,6 +90,11 @@ def month_slice(bronze: DataFrame, months: Sequence[str | None]) -> DataFrame:
     return bronze.filter(wanted | F.col("pickup_month").isNull() if None in months else wanted)
 
 
+def rows_read(spark: SparkSession, feeds: Sequence[Feed]) -> DataFrame:
+    """One row with the number of rows in the feeds' files, ``n``: a scan of no column, which opens footers only."""
+    return read_feeds(spark, feeds, lineage=False).agg(F.count(F.lit(1)).alias("n"))
+
+
 def file_metrics(scan: DataFrame, rules: Rules = TRIP_RULES) -> DataFrame:
     """Rows read, kept and dropped per source file."""
     passed = F.lit(True)
@@ -168,25 +172,22 @@ def publish(
     """Write the rows of some feeds and return the record of the run; see :func:`ingest`."""
     started = perf_counter()
     files = sum(len(feed.paths) for feed in feeds)
-    rows_in, rows_out = Observation(), Observation()
+    rows_out = Observation()
     try:
         if options.before_source and options.mode == FILE_LOOP:
             options.before_source(feeds[0])
-        raw = read_feeds(spark, feeds)
-        if options.count_rows:
-            raw = raw.observe(rows_in, F.count(F.lit(1)).alias("n"))
-        bronze = transform(raw, options.rules, options.ingested_at)
+        bronze = transform(read_feeds(spark, feeds), options.rules, options.ingested_at)
         if options.write.refresh == "table":
             write_table(bronze, target, options.write, mode, rows_out)
         else:
             paths = catalog(spark, [path for feed in feeds for path in feed.paths]).select("path")
             replace_files(bronze, paths, target, options.write, rows_out, known_new)
+        read_count = rows_read(spark, feeds).first()["n"] if options.count_rows else None
     except Exception as failure:
         if not options.keep_going:
             raise
         log.exception("source %s failed", source)
         return (source, STATUS_FAILED, files, None, None, perf_counter() - started, str(failure))
-    read_count = rows_in.get["n"] if options.count_rows else None
     return (source, STATUS_OK, files, read_count, rows_out.get["n"], perf_counter() - started, None)
 
 
