@@ -159,18 +159,17 @@ def _chains(token: np.ndarray, group: np.ndarray, low: np.ndarray, high: np.ndar
     return a, b, token[head], group[head], low[head], top
 
 
-def _prefixes(docs: pd.DataFrame, shared: pd.DataFrame, buckets: int, width: int, percent: int) -> pd.DataFrame:
+def _prefixes(docs: pa.Table, shared: pa.Table, buckets: int, width: int, percent: int) -> pa.Table:
     """Of a range of documents. Kind 0: a row for each. Kind 1: edges of groups. Kind 2: packed postings."""
-    parts = [_unpack(x) for x in shared["shingles"]]
+    parts = [_unpack(x) for x in shared["shingles"].to_pylist()]
     common = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-    rank = np.frombuffer(b"".join(shared["sizes"]), np.uint8).astype(np.int64)
+    rank = np.frombuffer(b"".join(shared["sizes"].to_pylist()), np.uint8).astype(np.int64)
     order = np.argsort(common, kind="stable")
     common, rank = common[order], rank[order]
-    ids = pa.array(docs["doc_id"].to_numpy(np.int64), mask=~docs["named"].to_numpy(bool))
-    texts = pa.RecordBatch.from_arrays([ids, pa.array(docs["text"], pa.string())], ["doc_id", "text"])
-    found = list(_prefix_rows(iter([texts]), common, rank, buckets, width, percent))
-    table = pa.Table.from_batches(found, pa.schema(list(zip(NAMES, TYPES))))
-    return table.to_pandas(integer_object_nulls=True)
+    texts = iter(docs.select(["doc_id", "text"]).to_batches())
+    found = list(_prefix_rows(texts, common, rank, buckets, width, percent))
+    pa.default_memory_pool().release_unused()  # Arrow would keep it for the worker's next range
+    return pa.Table.from_batches(found, pa.schema(list(zip(NAMES, TYPES))))
 
 
 def _prefix_rows(
@@ -296,10 +295,8 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT
         lambda b: _counted(b, 2 * parts, width), "bucket int, shingles binary, chunks binary, counts binary"
     )
     shared = counted.groupBy("bucket").applyInPandas(_elsewhere, "part int, shingles binary, sizes binary")
-    # a null among the ids of a range would turn them into floats in pandas
-    named = ranged.select("chunk", F.col("doc_id").isNotNull().alias("named"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "text")
-    prefixes = named.groupBy("chunk").cogroup(shared.groupBy("part"))
-    scanned = materialise(prefixes.applyInPandas(lambda d, c: _prefixes(d, c, 2 * parts, width, percent), OUT), "shingles")
+    prefixes = ranged.groupBy("chunk").cogroup(shared.groupBy("part"))
+    scanned = materialise(prefixes.applyInArrow(lambda d, c: _prefixes(d, c, 2 * parts, width, percent), OUT), "shingles")
     each = scanned.filter("kind = 0").select("doc_id", "n", "sig1", "sig2", "grp")
     near = scanned.filter("kind = 1").select(F.col("doc_id").alias("a"), F.col("grp").alias("b"))
     packed = scanned.filter("kind = 2").select("bucket", "tokens", "groups", "low", "high")
