@@ -109,6 +109,24 @@ def test_a_hot_host_is_cut_into_shards(spark):
     assert {r.page_id: r.text for r in found.collect()} == {i: words(i) for i in range(200)}
 
 
+def test_the_size_of_a_shard_changes_no_result(spark):
+    """Templates on few of a host's pages, below its share and above it, copies, and a page that is all template."""
+    often = "<div>Home of all things that anyone could ever want to read about today</div>"
+    seldom = "<div>Written by people for people since the very first day of the world</div>"
+    here = lambda i: (often if i % 33 == 0 else "") + (seldom if i in (1, 2, 3) else "")
+    rows = [(i, f"https://one.example/{i}", f"{here(i)}<p>{words(i)}</p>", None, None, None) for i in range(200)]
+    rows += [(300 + i, f"https://one.example/c{i}", f"{seldom}<p>{words(777)}</p>", None, None, None) for i in range(40)]
+    rows += [(400, "https://one.example/t", often, None, None, None), (401, "https://one.example/e", "", None, None, None)]
+    rows += [(500, "https://two.example/x", f"{often}<p>{words(5)}</p>", None, None, None)]
+    rows += [(None, "https://one.example/0", rows[0][2], None, None, None), rows[33]]
+    pages = pages_of(spark, *rows).repartition(4)
+    shown = lambda shard_bytes: sorted(map(str, H.main_text(pages, shard_bytes).collect()))
+    whole = shown(1 << 30)
+    assert whole == shown(4_000) == shown(500)
+    by_id = {r.page_id: r.text for r in H.main_text(pages, 4_000).collect()}
+    assert by_id[33] == words(33) and by_id[1] == f"{seldom[5:-6]}\n{words(1)}" and by_id[400] == often[5:-6]
+
+
 def test_empty_table(spark):
     assert H.main_text(pages_of(spark)).collect() == []
 

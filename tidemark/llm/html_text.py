@@ -1,12 +1,14 @@
 """Main text of web pages: markup says where the article is, a host's suffix array says what is template.
 
 A page is cut into blocks (the text between block-level tags) in page order. A block's place gives its
-kind: inside the article, outside it, or undecided. The pages of a host are dealt by a hash of their url
-and markup into shards of bounded bytes. In a shard the token streams of all pages are concatenated (one
-markup token at the head of each block, then its words) and their suffix array is sorted to the depth of
-the shortest run that counts. Neighbours with that many tokens in common, on enough distinct pages, are
-long repeated substrings; what they cover is boilerplate. Undecided blocks that are covered go, unique
-runs stay. Pages with equal text are one page, so that a copy is no evidence of a template.
+kind: inside the article, outside it, or undecided. The token streams of a host's pages are concatenated
+(one markup token at the head of each block, then its words) and their suffix array is sorted to the depth of
+the shortest run that counts. Neighbours with that many tokens in common, on enough distinct pages of the
+host, are long repeated substrings; what they cover is boilerplate. Undecided blocks that are covered go,
+unique runs stay. Pages with equal text are one page, so that a copy is no evidence of a template. A host of
+many bytes is dealt into shards by the hash of its pages' texts: each shard counts by a suffix array of its
+own on how many distinct pages a run stands, the counts of all shards are added up, and the runs that stand on
+enough pages of the whole host are handed back to its pages. So the size of a shard changes no result.
 
 The article is, in this order: ``article`` elements, ``main`` (or ``role=main``, ``itemprop=articleBody``),
 containers whose class or id say content, articles inside containers labelled as furniture, the whole
@@ -38,7 +40,7 @@ from tidemark.scratch import materialise
 
 RUN_TOKENS = 8  # the shortest repeated substring that counts
 MIN_PAGES = 2
-MIN_SHARE = 0.02  # of the distinct pages of a shard
+MIN_SHARE = 0.02  # of the distinct pages of a host
 COVERED = 0.5  # share of a block's tokens from which it is boilerplate
 SHARD_BYTES = 2 << 20
 
@@ -260,54 +262,97 @@ def suffix_array(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
     return np.argsort(rank, kind="stable"), rank
 
 
-def repeated(tokens: np.ndarray, page: np.ndarray, content: np.ndarray, min_pages: int) -> np.ndarray:
-    """Which tokens lie in a substring of RUN_TOKENS or more that stands on ``min_pages`` distinct pages.
+def whole_heads(page: np.ndarray) -> np.ndarray:
+    """Where RUN_TOKENS tokens begin that do not run into the next page."""
+    n = len(page)
+    whole = np.zeros(n, bool)
+    if n >= RUN_TOKENS:
+        whole[: n - RUN_TOKENS + 1] = page[: n - RUN_TOKENS + 1] == page[RUN_TOKENS - 1 :]
+    return whole
 
-    ``page`` (nondecreasing) is each token's page, ``content`` a number for the text of that page.
-    """
-    n = len(tokens)
-    covered = np.zeros(n, bool)
-    if n < RUN_TOKENS:
-        return covered
+
+def head_pages(tokens: np.ndarray, page: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Heads of RUN_TOKENS tokens, equal ones together; where runs of equal ones begin; the distinct pages of each run."""
     order, rank = suffix_array(tokens, RUN_TOKENS)
-    whole = np.zeros(n, bool)
-    whole[: n - RUN_TOKENS + 1] = page[: n - RUN_TOKENS + 1] == page[RUN_TOKENS - 1 :]
-    order = order[whole[order]]  # heads that do not run into the next page
+    order = order[whole_heads(page)[order]]
     by_page = order[np.lexsort((content[order], rank[order]))]
     edges = runs(rank[by_page])
     fresh = np.append(True, (np.diff(rank[by_page]) != 0) | (np.diff(content[by_page]) != 0))[: len(by_page)]
     sums = np.append(0, np.cumsum(fresh))
-    pages = sums[edges[1:]] - sums[edges[:-1]]
-    hits = by_page[np.repeat(pages >= min_pages, np.diff(edges))]
+    return by_page, edges, sums[edges[1:]] - sums[edges[:-1]]
+
+
+def spread(heads: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` tokens are among the RUN_TOKENS tokens from a head."""
     change = np.zeros(n + 1, np.int64)
-    np.add.at(change, hits, 1)
-    np.add.at(change, hits + RUN_TOKENS, -1)
+    np.add.at(change, heads, 1)
+    np.add.at(change, heads + RUN_TOKENS, -1)
     return np.cumsum(change[:-1]) > 0
 
 
-def template_blocks(texts: pa.Array, kinds: np.ndarray, signatures: np.ndarray, pages: np.ndarray) -> np.ndarray:
-    """Which blocks of a shard's pages are covered by repeated substrings; plain article blocks never are."""
-    judged = np.flatnonzero(kinds != OWN)
-    covered = np.zeros(len(kinds), bool)
-    if not len(judged):
-        return covered
+def head_hashes(tokens: np.ndarray) -> np.ndarray:
+    """A number for the RUN_TOKENS tokens from each place that has as many."""
+    h = np.zeros(max(len(tokens) - RUN_TOKENS + 1, 0), np.uint64)
+    for i in range(RUN_TOKENS):
+        h = mix(h + tokens[i : i + len(h)])
+    return h.view(np.int64)
+
+
+def repeated(tokens: np.ndarray, page: np.ndarray, content: np.ndarray, min_pages: int) -> np.ndarray:
+    """Which tokens lie in a substring of RUN_TOKENS or more that stands on ``min_pages`` distinct pages.
+
+    ``page`` (nondecreasing) is each token's page, ``content`` a number for the text of that page.
+    """
+    if len(tokens) < RUN_TOKENS:
+        return np.zeros(len(tokens), bool)
+    heads, edges, pages = head_pages(tokens, page, content)
+    return spread(heads[np.repeat(pages >= min_pages, np.diff(edges))], len(tokens))
+
+
+def page_contents(texts: pa.Array, pages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the blocks of each page begin, with their number at the end, and a hash of each page's text."""
     flat, at = flat_text(texts)
     whole = span_hashes(flat, at[:-1], at[1:])
     edges = runs(pages)
     position = mix(np.arange(len(pages), dtype=np.uint64) - np.repeat(edges[:-1], np.diff(edges)).astype(np.uint64))
     sums = np.append(np.uint64(0), np.cumsum(mix(whole ^ position), dtype=np.uint64))
-    text_of = np.unique(sums[edges[1:]] - sums[edges[:-1]], return_inverse=True)[1]
-    content = np.repeat(text_of, np.diff(edges))
+    return edges, (sums[edges[1:]] - sums[edges[:-1]]).view(np.int64)
 
+
+def judged_tokens(texts: pa.Array, kinds: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all blocks but plain ones of an article, and the block of each."""
+    judged = np.flatnonzero(kinds != OWN)
+    flat, at = flat_text(texts)
     starts, ends, block = word_spans(flat, at)
     own = kinds[block] != OWN
     words, block = span_hashes(flat, starts, ends)[own], block[own]
     tokens = np.concatenate([mix(signatures[judged].astype(np.int64).view(np.uint64)), words])
     where = np.concatenate([judged, block])
     order = np.argsort(where, kind="stable")  # the markup token goes before its block's words
-    tokens, where = tokens[order], where[order]
-    min_pages = max(MIN_PAGES, int(np.ceil(MIN_SHARE * len(np.unique(text_of)))))
-    hit = repeated(tokens, pages[where], content[where], min_pages)
+    return tokens[order], where[order]
+
+
+def template_blocks(
+    texts: pa.Array, kinds: np.ndarray, signatures: np.ndarray, pages: np.ndarray, templates: np.ndarray | None = None
+) -> np.ndarray:
+    """Which blocks of pages are covered by repeated substrings; plain article blocks never are.
+
+    ``templates`` are the hashes of the heads known to stand on enough pages; without them the pages are all of a host.
+    """
+    judged = np.flatnonzero(kinds != OWN)
+    covered = np.zeros(len(kinds), bool)
+    if not len(judged):
+        return covered
+    tokens, where = judged_tokens(texts, kinds, signatures)
+    if templates is None:
+        edges, contents = page_contents(texts, pages)
+        text_of = np.unique(contents, return_inverse=True)[1]
+        content = np.repeat(text_of, np.diff(edges))
+        min_pages = max(MIN_PAGES, int(np.ceil(MIN_SHARE * len(np.unique(text_of)))))
+        hit = repeated(tokens, pages[where], content[where], min_pages)
+    else:
+        known = np.flatnonzero(np.isin(head_hashes(tokens), templates))
+        hit = spread(known[whole_heads(pages[where])[known]], len(tokens))
     total = np.bincount(where, minlength=len(kinds))
     covered[judged] = (np.bincount(where, weights=hit, minlength=len(kinds))[judged] >= COVERED * total[judged])
     return covered
@@ -342,15 +387,87 @@ def _parsed(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(rows, schema)
 
 
-def _shard_text(shard: pa.Table) -> pa.Table:
-    """The main texts of the pages of one shard of a host."""
-    shard = shard.combine_chunks()
-    lists = [shard.column(name).chunk(0) for name in ("kinds", "containers", "texts")]
+def _page_tokens(pages: DataFrame) -> DataFrame:
+    """Of each page with text of ``host, shards, html``: the hash of its text and the tokens of its judged blocks.
+
+    Equal pages of one batch give a row only once.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: set[tuple] = set()
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                found = [classified(x or "") for x in part.column("html").to_pylist()]
+                numbers = np.repeat(np.arange(len(found)), [len(f) for f in found])
+                kinds, signatures = (np.array([b[i] for f in found for b in f], np.int64) for i in (0, 1))
+                texts = pa.array([b[2] for f in found for b in f], pa.string())
+                edges, contents = page_contents(texts, numbers)
+                tokens, where = judged_tokens(texts, kinds, signatures)
+                cuts = np.searchsorted(where, edges)
+                hosts, shards = (part.column(name).to_pylist() for name in ("host", "shards"))
+                out = []
+                for page, content, a, b in zip(numbers[edges[:-1]].tolist(), contents.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+                    row = hosts[page], content, tokens[a:b].tobytes()
+                    if row not in seen:
+                        seen.add(row)
+                        out.append((hosts[page], content % shards[page], *row[1:]))
+                columns = list(zip(*out)) if out else [[]] * 4
+                kinds_of = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, kinds_of)], ["host", "shard", "content", "tokens"]
+                )
+
+    return pages.mapInArrow(rows, "host string, shard long, content long, tokens binary")
+
+
+def _shard_heads(shard: pa.Table) -> pa.Table:
+    """On how many distinct pages of a shard each head of RUN_TOKENS tokens stands; for no head, how many pages there are."""
+    content = shard.column("content").to_numpy()
+    parts = [np.frombuffer(x, np.uint64) for x in shard.column("tokens").to_pylist()]
+    sizes = [len(x) for x in parts]
+    tokens, page = np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes)
+    heads, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(tokens) >= RUN_TOKENS:
+        places, edges, n = head_pages(tokens, page, np.repeat(content, sizes))
+        heads = head_hashes(tokens)[places[edges[:-1]]]
+    return pa.table(
+        {
+            "host": pa.array([shard.column("host")[0].as_py()] * (len(heads) + 1), pa.string()),
+            "head": pa.array([None, *heads.tolist()], pa.int64()),
+            "n": pa.array([len(np.unique(content)), *n.tolist()], pa.int64()),
+        }
+    )
+
+
+def host_templates(pages: DataFrame) -> DataFrame:
+    """The heads that stand on enough distinct pages of their host, of pages ``host, shards, html``."""
+    tokens = _page_tokens(pages)
+    counts = materialise(tokens.groupBy("host", "shard").applyInArrow(_shard_heads, "host string, head long, n long"), "heads")
+    sums = counts.groupBy("host", "head").agg(F.sum("n").alias("n"))
+    share = F.greatest(F.lit(MIN_PAGES), F.ceil(F.lit(MIN_SHARE) * F.col("n")))
+    needed = sums.filter("head IS NULL").select("host", share.alias("needed"))
+    return sums.filter("head IS NOT NULL").join(needed, "host").filter("n >= needed").select("host", "head")
+
+
+def _host_text(host: pa.Table) -> pa.Table:
+    """The main texts of all pages of a host."""
+    return _shard_text(host, None)
+
+
+def _told_text(shard: pa.Table, templates: pa.Table) -> pa.Table:
+    """The main texts of a host, or of one shard of a host whose templates are known."""
+    dealt = shard.num_rows and shard.column("shards")[0].as_py() is not None
+    return _shard_text(shard, templates.column("head").to_numpy() if dealt else None)
+
+
+def _shard_text(shard: pa.Table, templates: np.ndarray | None) -> pa.Table:
+    lists = [shard.column(name).combine_chunks() for name in ("kinds", "containers", "texts")]
     counts = lists[0].value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     pages = np.repeat(np.arange(shard.num_rows), counts)
     kinds, containers = (x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in lists[:2])
     texts = lists[2].flatten()
-    covered = template_blocks(texts, kinds, containers, pages)
+    covered = template_blocks(texts, kinds, containers, pages, templates)
     keep = kept_blocks(kinds, covered, pages)
     lines = texts.to_pylist()
     ends = np.cumsum(counts).tolist()
@@ -374,8 +491,8 @@ def _shard_text(shard: pa.Table) -> pa.Table:
 def main_text(pages: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars``, and of how many blocks (``n_blocks``) how many are template.
 
-    One shuffle moves the texts. A host of more than ``shard_bytes`` of html is dealt over several shards,
-    each with a suffix array of its own; a template stands on so many pages that every shard shows it.
+    One shuffle moves the texts. A host of more than ``shard_bytes`` of html is dealt over several shards; a
+    shuffle of hashed tokens before, without the plain blocks of articles, finds the templates of such hosts.
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     hosted = pages.select("page_id", "url", host.alias("host"), "html")
@@ -383,7 +500,14 @@ def main_text(pages: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     shards = F.ceil(F.col("bytes") / shard_bytes).alias("shards")
     big = materialise(sizes.filter(F.col("bytes") > shard_bytes).select("big_host", shards), "big_hosts")
     dealt = F.pmod(F.xxhash64("page_id", "url", "texts"), F.coalesce("shards", F.lit(1)))
-    rows = _parsed(hosted).join(big, F.col("host") == F.col("big_host"), "left").withColumn("shard", dealt)
+    rows = _parsed(hosted).join(big, F.col("host") == F.col("big_host"), "left").withColumn("shard", dealt).drop("big_host")
     kind = pages.schema["page_id"].dataType.simpleString()
     schema = f"page_id {kind}, url string, text string, n_chars long, n_blocks long, n_template long"
-    return rows.drop("big_host", "shards").groupBy("host", "shard").applyInArrow(_shard_text, schema)
+    if big.isEmpty():
+        return rows.drop("shards").groupBy("host", "shard").applyInArrow(_host_text, schema)
+    known = big.withColumnRenamed("big_host", "host")
+    found = host_templates(hosted.join(known, "host").select("host", "shards", "html"))
+    templates = found.join(known, "host").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    templates = templates.select("host", F.col("shard").cast("long").alias("shard"), "head")
+    both = rows.groupBy("host", "shard").cogroup(templates.groupBy("host", "shard"))
+    return both.applyInArrow(_told_text, schema)
