@@ -122,3 +122,23 @@ def test_packed_numbers_come_back():
     keys = np.array([-(1 << 63), -5, 0, 7, (1 << 63) - 1], np.int64)
     assert ppm_text._unpack_keys(ppm_text._pack_keys(keys)).tolist() == keys.tolist()
     assert ppm_text._unpack(ppm_text._pack(keys[:0]), np.int64).tolist() == []
+
+
+def test_a_block_is_read_in_small_pieces():
+    """All positions of a block of many documents, never more than half a megabyte of text at once."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["word%d other " % i * 5000 for i in range(30)]
+    text, sizes = ppm_text.running_text(*ppm_text.flat_text(pa.array(texts)))
+    row = {
+        "ids": list(range(30)),
+        "held_out": np.zeros(30, bool).tobytes(),
+        "sizes": sizes.tobytes(),
+        "n_bytes": len(text),
+        "text": pa.compress(text.tobytes(), "zstd", asbytes=True),
+    }
+    pieces = list(ppm_text._pieces(row))
+    assert sum(len(gram) for _, _, _, gram, _, _ in pieces) == len(text) - 30 * K
+    assert max(len(gram) for _, _, _, gram, _, _ in pieces) <= 1 << 19
+    assert [i for ids, *_ in pieces for i in ids] == row["ids"]

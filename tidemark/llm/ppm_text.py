@@ -39,11 +39,12 @@ ORDER = 6  # bytes of the longest context; with the byte that follows, at most 8
 END = 10  # no word holds it
 BLOCK = 24 << 20  # bytes of running text in a block
 SHARE = 8 << 20  # bytes of running text for each bucket
-PENDING = 1 << 21  # counts that may wait to be merged
+PENDING = 1 << 20  # counts that may wait to be merged
+SENT = 4 << 20  # bytes of values that may wait to be sent
 
 BLOCKS = "block string, n_bytes long, ids array<long>, held_out binary, sizes binary, text binary"
 COUNTS = "bucket int, word boolean, block string, keys binary, n binary"
-VALUES = "block string, word boolean, keys binary, n binary"
+VALUES = "block string, bucket int, word boolean, keys binary, n binary"
 STATS = "bucket int, word boolean, keys binary, n binary, node long, cell int, seen long, escaped long"
 
 
@@ -79,6 +80,13 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [name for name, _ in fields])
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one; packed values are copied out of a batch only when it is their turn."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with sums."""
     order = np.argsort(keys, kind="stable")
@@ -146,7 +154,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.Record
         yield flush()
 
 
-def _pieces(row: dict, limit: int = 1 << 20) -> Iterator[tuple]:
+def _pieces(row: dict, limit: int = 1 << 19) -> Iterator[tuple]:
     """Of a block, a few documents at a time: ids, held out, number of document and gram of every coded byte, and of every token its hash."""
     apart, sizes = np.frombuffer(row["held_out"], bool), np.frombuffer(row["sizes"], np.int64)
     text = np.frombuffer(pa.decompress(row["text"], row["n_bytes"], "zstd", asbytes=True), np.uint8)
@@ -179,21 +187,22 @@ def block_counts(buckets: int):
     """Counts in training texts of the different grams and words of a block, those of other texts with 0, by bucket."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                grams, words = Sums(), Sums()
-                for _, apart, doc, gram, token_doc, token in _pieces(row):
-                    grams.add(*_summed(gram, (~apart[doc]).astype(np.int64)))
-                    words.add(*_summed(token, (~apart[token_doc]).astype(np.int64)))
-                for word, sums in ((False, grams), (True, words)):
-                    keys, n = sums.merged()
-                    bucket = _buckets(keys, word, buckets)
-                    order = np.argsort(bucket, kind="stable")
-                    keys, n, bucket = keys[order], n[order], bucket[order]
-                    at = runs(bucket)
-                    out = [(int(bucket[a]), word, row["block"], _pack_keys(keys[a:b]), _pack(n[a:b])) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                    yield _batch(out, COUNTS)
+        for row in _rows(batches):
+            grams, words = Sums(), Sums()
+            for _, apart, doc, gram, token_doc, token in _pieces(row):
+                grams.add(*_summed(gram, (~apart[doc]).astype(np.int64)))
+                words.add(*_summed(token, (~apart[token_doc]).astype(np.int64)))
+            for word, sums in ((False, grams), (True, words)):
+                keys, n = sums.merged()
+                sums.parts = []
+                bucket = _buckets(keys, word, buckets)
+                order = np.argsort(bucket, kind="stable")
+                keys, n, bucket = keys[order], n[order], bucket[order]
+                at = runs(bucket)
+                out = [(int(bucket[a]), word, row["block"], _pack_keys(keys[a:b]), _pack(n[a:b])) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                del keys, n, bucket, order
+                yield _batch(out, COUNTS)
+        pa.default_memory_pool().release_unused()  # Arrow would keep it for the worker's next task
 
     return counted
 
@@ -229,14 +238,12 @@ def bucket_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out += [(None, False, None, None, x, None, y, None) for x, y in zip(entries.tolist(), total.tolist())]
         return _batch(out, STATS)
 
-    for batch in batches:
-        names = ("bucket", "word", "keys", "n")
-        for bucket, word, keys, n in zip(*(batch.column(x).to_pylist() for x in names)):
-            if now != (bucket, word):
-                if now is not None:
-                    yield finished()
-                now, sums = (bucket, word), Sums()
-            sums.add(_unpack_keys(keys), _unpack(n, np.int64))
+    for row in _rows(batches):
+        if now != (row["bucket"], row["word"]):
+            if now is not None:
+                yield finished()
+            now, sums = (row["bucket"], row["word"]), Sums()
+        sums.add(_unpack_keys(row["keys"]), _unpack(row["n"], np.int64))
     if now is not None:
         yield finished()
 
@@ -287,54 +294,62 @@ def score(docs: DataFrame, held_out: Column, block: int = BLOCK, share: int = SH
     shared = spark.sparkContext.broadcast(_model(short, cells))
 
     def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("word", "block", "keys", "n")
         own, values = np.zeros(0, np.int64), np.zeros(0)
-        for batch in batches:
-            out = []
-            for word, block, packed, n in zip(*(batch.column(x).to_pylist() for x in names)):
-                keys = _unpack_keys(packed)
-                if block is None:  # the sums of a bucket come before its blocks
-                    own, values = keys, _unpack(n, np.int64)
-                    if not word:
-                        values = gram_costs(shared.value, own, values).astype(np.float32)
-                else:
-                    out.append((block, word, packed, _pack(values[np.searchsorted(own, keys)])))
-            yield _batch(out, VALUES)
-
-    both = counts.unionByName(sums).repartition(tasks, "bucket", "word").sortWithinPartitions("bucket", "word", F.col("block").asc_nulls_first())
+        out, held = [], 0
+        for row in _rows(batches):
+            keys, word = _unpack_keys(row["keys"]), row["word"]
+            if row["block"] is None:  # the sums of a bucket come before its blocks
+                own, values = keys, _unpack(row["n"], np.int64)
+                if not word:
+                    values = gram_costs(shared.value, own, values).astype(np.float32)
+                continue
+            out.append((row["block"], row["bucket"], word, row["keys"], _pack(values[np.searchsorted(own, keys)])))
+            held += len(out[-1][3]) + len(out[-1][4])
+            if held >= SENT:
+                yield _batch(out, VALUES)
+                out, held = [], 0
+        yield _batch(out, VALUES)
+        pa.default_memory_pool().release_unused()
+
+    asked = counts.withColumn("n", F.lit(None).cast("binary"))  # of a block only its keys are asked for
+    both = asked.unionByName(sums).repartition(tasks, "bucket", "word").sortWithinPartitions("bucket", "word", F.col("block").asc_nulls_first())
     values = both.mapInArrow(valued, VALUES)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, now = [field.split()[0] for field in SCORED.split(", ")], None
-        parts: dict[bool, list] = {}
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                if row["block"] != now:
-                    now, parts = row["block"], {False: [], True: []}
-                if row["text"] is None:  # the values of a block come before its text
-                    parts[row["word"]].append((_unpack_keys(row["keys"]), _unpack(row["n"], np.int64 if row["word"] else np.float32)))
-                    continue
-                tables = []
-                for word in (False, True):
-                    keys, found = (np.concatenate(x) for x in zip(*parts.pop(word)))
-                    order = np.argsort(keys)
-                    tables.append((keys[order], found[order]))
-                for ids, apart, doc, gram, token_doc, token in _pieces(row):
-                    order = np.argsort(gram)
-                    cost = tables[0][1][np.searchsorted(tables[0][0], gram[order])]
-                    count = tables[1][1][np.searchsorted(tables[1][0], token)]
-                    n, base = len(ids), np.log10((count + 1) / (everything + kinds + 1))
-                    columns = [
-                        pa.array(ids, pa.int64()),
-                        pa.array(apart),
-                        np.bincount(token_doc, minlength=n),
-                        np.bincount(token_doc, count > 0, n).astype(np.int64),
-                        np.full(n, everything, np.int64),
-                        np.bincount(token_doc, base, n),
-                        np.bincount(doc[order], cost, n),
-                    ]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+        parts: dict[tuple[bool, int], tuple[np.ndarray, np.ndarray]] = {}
+
+        def found(word: bool, keys: np.ndarray, kind: type) -> np.ndarray:
+            """The values of keys, each looked up in its own bucket."""
+            bucket, values = _buckets(keys, word, buckets), np.zeros(len(keys), kind)
+            order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+            at = runs(bucket[order])
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+                own, known = parts[word, int(bucket[order[a]])]
+                values[order[a:b]] = known[np.searchsorted(own, keys[order[a:b]])]
+            return values
+
+        for row in _rows(batches):
+            if row["block"] != now:
+                now = row["block"]
+                parts.clear()
+            if row["text"] is None:  # the values of a block come before its text
+                parts[row["word"], row["bucket"]] = _unpack_keys(row["keys"]), _unpack(row["n"], np.int64 if row["word"] else np.float32)
+                continue
+            for ids, apart, doc, gram, token_doc, token in _pieces(row):
+                cost, count = found(False, gram, np.float32), found(True, token, np.int64)
+                n, base = len(ids), np.log10((count + 1) / (everything + kinds + 1))
+                columns = [
+                    pa.array(ids, pa.int64()),
+                    pa.array(apart),
+                    np.bincount(token_doc, minlength=n),
+                    np.bincount(token_doc, count > 0, n).astype(np.int64),
+                    np.full(n, everything, np.int64),
+                    np.bincount(token_doc, base, n),
+                    np.bincount(doc, cost, n),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+        pa.default_memory_pool().release_unused()
 
     together = values.unionByName(blocks, allowMissingColumns=True).repartition(tasks, "block")
     ordered = together.sortWithinPartitions("block", F.col("text").isNotNull())
