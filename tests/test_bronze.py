@@ -303,3 +303,17 @@ def test_files_of_different_types_and_more_columns(spark, trips, tmp_path):
         if rows is not None:
             assert sorted(str(r.flag) for r in rows.collect()) == ["1"] * 3 + ["None"] * 3 + ["x"] * 3
             assert rows.filter("trip_id IS NULL").count() == 3
+
+
+def test_few_files_for_each_month_come_from_many_tasks(spark, trips, tmp_path):
+    """``coalesce_n`` bounds the files of a partition, not the tasks: no task holds the whole table."""
+    rows = bronze.transform(trips(*[(i, datetime(2024, 1 + i % 12, 1 + i % 28), 1.0, 5, i % 7, "c") for i in range(600)]))
+    for most in (1, 3):
+        target = tmp_path / f"bronze-{most}"
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as if the table were large
+        write_table(rows.repartition(4), str(target), WriteOptions(coalesce_n=most, refresh="table"))
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        months = {folder.name: [f.name for f in folder.glob("*.parquet")] for folder in target.glob("pickup_month=*")}
+        assert len(months) == 12 and max(len(names) for names in months.values()) <= most
+        assert len({name.split("-")[1] for names in months.values() for name in names}) > 1
+        assert spark.read.parquet(str(target)).count() == 600

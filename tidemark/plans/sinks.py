@@ -23,8 +23,9 @@ class WriteOptions:
     replaces everything. ``rebalance`` shuffles rows by partition value so that each partition
     gets few, evenly sized files; a partition value holding most of the rows is split over many
     tasks by adaptive execution. Leave it off when each input file holds few partition values:
-    the write then needs no shuffle. ``coalesce_n`` narrows the output without a shuffle, but also
-    the scan before it.
+    the write then needs no shuffle. ``coalesce_n`` is the most files that a partition gets while it holds no
+    more rows than that many files may: its rows are dealt over as many tasks by their hash, so that no task
+    holds more than a share of one partition at a time, however large the table is.
     """
 
     partition_by: str = "pickup_month"
@@ -54,7 +55,10 @@ def write_table(
     A table that is replaced as a whole is deleted only when its successor lies complete in shared
     storage: rows that cannot be read or computed fail the write and leave the old table.
     """
-    laid_out = df.coalesce(options.coalesce_n) if options.coalesce_n else df
+    laid_out = df
+    if options.coalesce_n:
+        share = F.pmod(F.xxhash64(*df.columns), F.lit(options.coalesce_n))
+        laid_out = df.repartition(options.partition_by, share)
     if options.rebalance:
         laid_out = laid_out.hint("rebalance", options.partition_by)
     if written is not None:
