@@ -191,3 +191,23 @@ def test_a_changed_file_renews_its_trips(spark, tmp_path, raw_dir):
     done = run(1)
     assert refreshed(done.gold) == rebuilt(done.silver.read())
     assert done.silver.read().agg(F.max("trip_miles")).first()[0] == 24.0
+
+
+def test_deltas_are_grouped_in_tasks_of_bounded_size(spark, tmp_path, delivery):
+    """Rows are dealt out before they are grouped, so that no task groups all that a split of a file holds."""
+    rows = signed(delivery(1, *[(i, 1 + i % 3, 1.0) for i in range(30)]), 1)
+    plan = gold_deltas._grouped(rows, gold_deltas.TRIPS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RebalancePartitions")
+
+
+def test_merged_rows_are_written_once(spark, tmp_path, delivery, monkeypatch):
+    """What a commit publishes is what was staged; a first delivery is not written beside it."""
+    from tidemark.plans import silver_upsert
+
+    table, kept = silver_table(spark, str(tmp_path / "silver")), []
+    plain = silver_upsert.materialise
+    monkeypatch.setattr(silver_upsert, "materialise", lambda df, name: kept.append(name) or plain(df, name))
+    first = upsert(table, delivery(1, *[(i, 1 + i % 3, 1.0) for i in range(30)]))
+    assert kept == [] and first.changes.count() == 30
+    second = upsert(table, delivery(2, *[(i, 1 + i % 3, 2.0) for i in range(20, 40)]))
+    assert kept == ["delivery"] and second.changes.count() == 30 and table.read().count() == 40

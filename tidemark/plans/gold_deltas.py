@@ -66,8 +66,10 @@ def _grouped(rows: DataFrame, c: TripColumns) -> DataFrame:
     columns = list(dict.fromkeys(key for total in TOTALS.values() for key in total.keys))
     sets = [[F.col(key) for key in total.keys] for total in TOTALS.values()]
     number = F.grouping_id(*columns).alias("set")
+    # tasks of bounded size, however many places a file holds; most groups are whole in one task
     sums = (
-        values.groupingSets(sets, *columns)
+        values.hint("rebalance", "pickup_month", "location")
+        .groupingSets(sets, *columns)
         .agg(
             number,
             F.sum(SIGN).alias("trips"),
@@ -141,7 +143,7 @@ class GoldTables:
         own = deltas.filter(F.col("total") == name).select(*total.keys, *NUMBERS)
         touched = table.partition_names(own) if total.partition else [""]
         known = own if base is None else own.unionByName(table.read(base, touched))
-        sums = known.groupBy(*total.keys).agg(*(F.sum(n).cast(own.schema[n].dataType).alias(n) for n in NUMBERS))
+        sums = known.hint("rebalance", *total.keys).groupBy(*total.keys).agg(*(F.sum(n).cast(own.schema[n].dataType).alias(n) for n in NUMBERS))
         table.commit(sums.filter("trips <> 0"), "replace", emptied=touched, base=base, tag=(BATCH, batch))
         return touched
 
