@@ -58,27 +58,31 @@ def upsert(
     nobody sees them yet, so that what follows from them can be written down first.
     """
     ready = delivery.transform(clean, rules).transform(dedup, keys).transform(features)
-    fresh = materialise(ready.withColumn("key_bucket", key_bucket(keys, buckets)), "delivery")
+    ready = ready.withColumn("key_bucket", key_bucket(keys, buckets))
     base = table.current()
     prepare = before_commit or (lambda changes: None)
     if base is None:
-        changes = fresh.withColumn(SIGN, F.lit(1))
+        staged = table.stage(ready)
+        changes = table.staged_rows(staged).withColumn(SIGN, F.lit(1))
         prepare(changes)
-        snapshot = table.commit(fresh, "replace", tag=tag)
+        snapshot = table.commit(changes, "replace", tag=tag, staged=staged)
         return Merge(snapshot, sorted(snapshot.folders), changes)
+    fresh = materialise(ready, "delivery")
     touched = table.partition_names(fresh)
     old = table.read(base, touched)
-    wanted = table.partition_names(_news(fresh, old, keys))
+    derived = [c for c in fresh.columns if c not in delivery.columns]  # equal where what they follow from is
+    wanted = table.partition_names(_news(fresh, old, keys, derived))
     if not wanted:
         changes = fresh.limit(0).withColumn(SIGN, F.lit(1))
         prepare(changes)
         return Merge(base, [], changes)
     before = table.read(base, wanted)
     both = before.unionByName(fresh.filter(_in_partitions(wanted)), allowMissingColumns=True)
-    after = materialise(both.transform(dedup, keys), "merged")
+    staged = table.stage(both.transform(dedup, keys))
+    after = table.staged_rows(staged)
     changes = _changes(before, after)
     prepare(changes)
-    snapshot = table.commit(after, "replace", base=base, tag=tag)
+    snapshot = table.commit(after, "replace", base=base, tag=tag, staged=staged)
     return Merge(snapshot, wanted, changes)
 
 
@@ -89,10 +93,10 @@ def _same_trip(keys: Sequence[str]) -> Column:
     return condition
 
 
-def _news(fresh: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _news(fresh: DataFrame, old: DataFrame, keys: Sequence[str], derived: Sequence[str]) -> DataFrame:
     """Delivered rows whose trip the table lacks, or holds in a version that is not newer for certain."""
     newer = F.col("o.ingestion_timestamp") > F.col("f.ingestion_timestamp")
-    rest = [c for c in fresh.columns if c in old.columns and c not in keys]
+    rest = [c for c in fresh.columns if c in old.columns and c not in [*keys, *derived]]
     equal = F.struct(*(F.col(f"f.{c}") for c in rest)).eqNullSafe(F.struct(*(F.col(f"o.{c}") for c in rest)))
     unknown = F.lit(False)
     for key in keys:
